@@ -1,5 +1,7 @@
 """Which offer a cart gets, and what the offer is expected to recover."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -184,7 +186,21 @@ def recovered_gmv(code: Column, value: Column, discount: Column) -> Column:
     return F.when(code != NO_COUPON, expected).otherwise(real(0))
 
 
+def money(value: Column) -> Column:
+    return value.cast("decimal(18,2)")
+
+
+def recovered_money(code: Column, value: Column, discount: Column) -> Column:
+    """``recovered_gmv`` in whole cents. Decimal arithmetic: a product of doubles
+    can fall on either side of half a cent."""
+    kept = F.lit(Decimal(1)) - discount.cast("decimal(4,2)")
+    expected = F.round(money(value) * F.lit(Decimal(str(LIFT))) * kept, 2)
+    return money(F.when(code != NO_COUPON, expected).otherwise(F.lit(Decimal(0))))
+
+
 def stream_recovered_gmv(p: Column, value: Column) -> Column:
     """The streaming path's own estimate, kept apart from ``recovered_gmv``."""
-    share = F.when(predicted_abandoned(p) == 1, real(STREAM_SHARE)).otherwise(real(1))
-    return F.round(value * share, 2)
+    share = F.when(predicted_abandoned(p) == 1, F.lit(Decimal(str(STREAM_SHARE)))).otherwise(
+        F.lit(Decimal("1.00"))
+    )
+    return F.round(money(value) * share, 2).cast("double")

@@ -49,6 +49,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def write_stage(df: DataFrame, label: str) -> str:
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -56,7 +62,4 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     would scan and shuffle the raw events again, because column pruning gives
     the branches different exchanges. The files survive lost executors.
     """
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, label))
