@@ -1,11 +1,12 @@
 """The way of each buyer to the first purchase."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlake.functions.events import CART, PURCHASE, VIEW, event_order, hours_between
 from cartlake.operators.running import exact_quantiles
 from cartlake.operators.skew import salted_join
+from cartlake.session import stage
 
 
 def first_purchases(silver: DataFrame) -> DataFrame:
@@ -81,42 +82,38 @@ JOURNEY_METRICS = {
 QUANTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90}
 
 
-def metric_statistics(journey: DataFrame, metric: str, scale: int) -> DataFrame:
-    whole = F.round(F.col(metric) * scale).cast("long")
-    quantiles = exact_quantiles(journey, whole, list(QUANTILES.values())).select(
-        *[(F.col(f"q{i}") / scale).alias(name) for i, name in enumerate(QUANTILES)]
-    )
-    summary = journey.agg(
-        F.count(metric).alias("buyers"),
-        F.avg(metric).alias("mean"),
-        F.stddev_samp(metric).alias("std"),
-        F.min(metric).cast("double").alias("min"),
-        F.max(metric).cast("double").alias("max"),
-    )
-    # Both sides are single rows.
-    return summary.select(
-        F.lit(metric).alias("metric"),
-        "buyers",
-        *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "max")],
-        *[F.round(quantiles.select(name).scalar(), 4).alias(name) for name in QUANTILES],
-    )
+def metric_rows(journey: DataFrame) -> DataFrame:
+    """One row (metric, scale, v) per buyer and metric."""
+    rows = [
+        F.struct(F.lit(m).alias("metric"), F.lit(scale).alias("scale"), F.col(m).cast("double").alias("v"))
+        for m, scale in JOURNEY_METRICS.items()
+    ]
+    return journey.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
 def journey_stats(journey: DataFrame) -> DataFrame:
-    rows = [metric_statistics(journey, m, scale) for m, scale in JOURNEY_METRICS.items()]
-    result = rows[0]
-    for row in rows[1:]:
-        result = result.unionByName(row)
-    return result
+    """Summary and exact quantiles of each metric. Two branches read the metric
+    rows, so they are staged."""
+    rows = stage(metric_rows(journey), "journey-metrics")
+    summary = rows.groupBy("metric").agg(
+        F.count("v").alias("buyers"),
+        F.round(F.avg("v"), 4).alias("mean"),
+        F.round(F.stddev_samp("v"), 4).alias("std"),
+        F.round(F.min("v"), 4).alias("min"),
+        F.round(F.max("v"), 4).alias("max"),
+    )
+    whole = F.round(F.col("v") * F.col("scale"))
+    quantiles = exact_quantiles(rows, whole, list(QUANTILES.values()), ["metric", "scale"]).select(
+        "metric",
+        *[F.round(F.col(f"q{i}") / F.col("scale"), 4).alias(name) for i, name in enumerate(QUANTILES)],
+    )
+    return summary.join(quantiles, "metric")
 
 
 def approximate_journey_stats(journey: DataFrame) -> DataFrame:
-    """The quartiles from sketches, in one pass."""
-    metrics = F.explode(
-        F.create_map(*[x for m in JOURNEY_METRICS for x in (F.lit(m), F.col(m).cast("double"))])
-    ).alias("metric", "v")
+    """The quantiles from sketches, in one pass."""
     return (
-        journey.select(metrics)
+        metric_rows(journey)
         .groupBy("metric")
         .agg(*[F.percentile_approx("v", share).alias(name) for name, share in QUANTILES.items()])
     )
@@ -126,7 +123,8 @@ def prior_cart_distribution(journey: DataFrame) -> DataFrame:
     """Share of buyers with 0, 1, 2, 3 or at least 4 earlier cart sessions."""
     bucket = F.least(F.col("prior_cart_sessions"), F.lit(4)).cast("int")
     counts = journey.groupBy(bucket.alias("prior_carts")).agg(F.count(F.lit(1)).alias("buyers"))
-    total = counts.agg(F.sum("buyers")).scalar()
+    # A window over the five buckets.
+    total = F.sum("buyers").over(Window.partitionBy())
     return counts.withColumn("share_pct", F.round(F.col("buyers") * 100 / total, 1))
 
 

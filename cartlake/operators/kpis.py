@@ -7,6 +7,7 @@ from cartlake.functions.events import CART, PURCHASE, VIEW, from_cents, to_cents
 from cartlake.functions.offers import NO_COUPON
 from cartlake.functions.risk import PREDICTED_ABANDONED_FROM
 from cartlake.operators.running import exact_quantiles
+from cartlake.session import stage
 
 
 
@@ -101,7 +102,7 @@ def gmv_at_risk(scored: DataFrame) -> DataFrame:
 def coupon_distribution(scored: DataFrame) -> DataFrame:
     """The total is a window over one row per coupon."""
     counts = scored.groupBy("coupon_code", "coupon_label").agg(F.count(one()).alias("carts"))
-    total = F.sum("carts").over(Window.partitionBy(F.lit(1)))
+    total = F.sum("carts").over(Window.partitionBy())
     return counts.withColumn("share", F.round(F.col("carts") / total, 4))
 
 
@@ -159,16 +160,18 @@ def abandonment_by_prior_carts(gold: DataFrame) -> DataFrame:
 
 def prior_activity_stats(gold: DataFrame) -> DataFrame:
     """Mean and exact median of earlier views and carts over all carts."""
-    means = gold.agg(
-        F.round(F.avg("user_prior_views"), 4).alias("prior_views_mean"),
-        F.round(F.avg("user_prior_carts"), 4).alias("prior_carts_mean"),
-    )
-    views = exact_quantiles(gold, F.col("user_prior_views"), [0.5])
-    carts = exact_quantiles(gold, F.col("user_prior_carts"), [0.5])
-    return means.select(
-        "*",
-        views.select("q0").scalar().alias("prior_views_median"),
-        carts.select("q0").scalar().alias("prior_carts_median"),
+    names = {"user_prior_views": "prior_views", "user_prior_carts": "prior_carts"}
+    pairs = F.create_map(*[x for c, name in names.items() for x in (F.lit(name), F.col(c))])
+    rows = stage(gold.select(F.explode(pairs).alias("metric", "v")), "prior-activity")
+    means = rows.groupBy("metric").agg(F.round(F.avg("v"), 4).alias("mean"))
+    medians = exact_quantiles(rows, F.col("v"), [0.5], ["metric"]).withColumnRenamed("q0", "median")
+    both = means.join(medians, "metric")
+    return both.agg(
+        *[
+            F.max(F.when(F.col("metric") == name, F.col(side))).alias(f"{name}_{side}")
+            for name in names.values()
+            for side in ("mean", "median")
+        ]
     )
 
 
@@ -212,7 +215,7 @@ def kpis_by_day(scored: DataFrame) -> DataFrame:
 
 def kpi_increment(scored: DataFrame) -> DataFrame:
     """The running totals after each day. The window orders one row per day."""
-    so_far = Window.partitionBy(F.lit(1)).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy().orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     days = kpis_by_day(scored)
     return days.select(
         "day",
@@ -226,6 +229,6 @@ def kpi_increment(scored: DataFrame) -> DataFrame:
 
 def running_mean(scored: DataFrame) -> DataFrame:
     """Mean views per cart after each day, from sums, never from rounded means."""
-    so_far = Window.partitionBy(F.lit(1)).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy().orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     views, carts = F.sum("views").over(so_far), F.sum("carts").over(so_far)
     return kpis_by_day(scored).select("day", carts.alias("carts"), F.round(views / carts, 2).alias("mean_views"))

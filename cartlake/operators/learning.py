@@ -98,12 +98,10 @@ def with_split(carts: DataFrame, test_share: float = TEST_SHARE, exact: bool = F
         in_test = number < F.lit(int(test_share * HASH_RANGE))
         return carts.withColumn("split", F.when(in_test, "test").otherwise("train"))
     carts = stage(carts, "split")
-    cut = F.when(F.lit(False), 0.0)
-    for label in (0, 1):
-        of_class = carts.where(F.col(TARGET) == label)
-        quantile = exact_quantiles(of_class, number, [test_share]).select("q0").scalar()
-        cut = cut.when(F.col(TARGET) == label, quantile)
-    return carts.withColumn("split", F.when(number <= cut, "test").otherwise("train"))
+    # One row per class.
+    cuts = F.broadcast(exact_quantiles(carts, number, [test_share], [TARGET]))
+    marked = F.when(number <= F.col("q0"), "test").otherwise("train")
+    return carts.join(cuts, TARGET).withColumn("split", marked).drop("q0")
 
 
 def split_shares(split: DataFrame) -> DataFrame:

@@ -76,7 +76,8 @@ def ranked_scores(scored: DataFrame, label: str, score: str) -> DataFrame:
         [],
         F.floor(F.col("score") * SCORE_CHUNKS),
         ["score"],
-        {"positives_below": "positives", "negatives_below": "negatives"},
+        sums={"positives_below": "positives", "negatives_below": "negatives"},
+        totals={"all_positives": "positives_below", "all_negatives": "negatives_below"},
     )
 
 
@@ -99,10 +100,7 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """True and false positive rate when everything from a score up is flagged."""
     ranked = ranked_scores(scored, label, score)
-    totals = scored.agg(
-        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")
-    )
-    p, n = totals.select("p").scalar(), totals.select("n").scalar()
+    p, n = F.col("all_positives"), F.col("all_negatives")
     return ranked.select(
         F.col("score").alias("threshold"),
         F.round(F.try_divide(p - F.col("positives_below"), p), 6).alias("tpr"),

@@ -11,17 +11,19 @@ def running_totals(
     order: list[str],
     sums: dict[str, str],
     firsts: dict[str, str] | None = None,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """For each row, the totals of all rows *before* it, per ``partition``.
 
-    ``sums`` maps a new column to the long column it totals, ``firsts`` maps one
-    to the leading order column whose first value it repeats. ``chunk`` must not
-    decrease along ``order``. A plain window would sort a whole partition key in
+    ``sums`` maps a new column to the long column it totals, ``totals`` maps one
+    to the entry of ``sums`` whose total over the whole partition it repeats, and
+    ``firsts`` maps one to the leading order column whose first value it repeats.
+    ``chunk`` must not decrease along ``order``. A plain window would sort a whole partition key in
     one task; here the rows are sorted per (key, chunk), and only one row per
     chunk is ordered per key. The caller picks chunks so that both stay small.
     Partition columns and ``chunk`` must not be null.
     """
-    firsts = firsts or {}
+    firsts, totals = firsts or {}, totals or {}
     keyed = rows.withColumn("_chunk", chunk)
     keys = [*partition, "_chunk"]
     chunk_totals = keyed.groupBy(*keys).agg(
@@ -38,6 +40,10 @@ def running_totals(
             for name in sums
         ],
         *[F.min(name).over(chunks_so_far).alias(name) for name in firsts],
+        *[
+            F.sum(f"_{source}").over(Window.partitionBy(*partition)).alias(name)
+            for name, source in totals.items()
+        ],
     )
     earlier_rows = (
         Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -49,20 +55,14 @@ def running_totals(
             for name, source in sums.items()
         ],
     )
-    totals = [
+    columns = [
         (F.col(name) + F.col(f"_{name}")).cast("long").alias(name)
         if name in sums
         else F.col(name)
         for name in inside.columns
         if name != "_chunk"
     ]
-    return inside.join(offsets, keys).select(*totals, *firsts)
-
-
-def value_counts(df: DataFrame, value: Column) -> DataFrame:
-    """(value, n): one row per distinct non-null long value."""
-    counted = df.select(value.cast("long").alias("value")).where("value is not null")
-    return counted.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return inside.join(offsets, keys).select(*columns, *firsts, *totals)
 
 
 # Width of a value chunk: 2^16 values are ordered in a task, and long values up
@@ -70,20 +70,26 @@ def value_counts(df: DataFrame, value: Column) -> DataFrame:
 CHUNK_BITS = 16
 
 
-def exact_quantiles(df: DataFrame, value: Column, shares: list[float]) -> DataFrame:
-    """One row with ``q0, q1, ...``: linearly interpolated quantiles of a long.
+def exact_quantiles(
+    df: DataFrame, value: Column, shares: list[float], by: list[str] | None = None
+) -> DataFrame:
+    """``q0, q1, ...`` per group: linearly interpolated quantiles of a long.
 
-    Equal to ``percentile``, which would hold every distinct value in one task's
-    memory. Scaled decimals (cents, hundredths of an hour) count as longs.
+    Equal to ``percentile``, which would hold every distinct value of a group in
+    one task's memory. Scaled decimals (cents, hundredths of an hour) count as
+    longs. Nulls are ignored.
     """
-    counts = value_counts(df, value)
+    by = by or []
+    values = df.select(*by, value.cast("long").alias("value")).where("value is not null")
+    counts = values.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(
-        counts, [], F.shiftright("value", CHUNK_BITS), ["value"], {"before": "n"}
+        counts,
+        by,
+        F.shiftright("value", CHUNK_BITS),
+        ["value"],
+        sums={"before": "n"},
+        totals={"total": "before"},
     )
-    # The rank of the total is known once every count is summed, so each
-    # quantile first finds its two neighbours by their rank from the front.
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    placed = ranked.select("value", "n", "before", total.alias("total"))
     picks = []
     for i, share in enumerate(shares):
         rank = (F.col("total") - 1) * F.lit(float(share))
@@ -91,12 +97,13 @@ def exact_quantiles(df: DataFrame, value: Column, shares: list[float]) -> DataFr
             holds = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
             picks.append(F.max(F.when(holds, F.col("value"))).alias(f"{side}{i}"))
         picks.append(F.max(rank - F.floor(rank)).alias(f"part{i}"))
-    found = placed.agg(*picks)
+    found = ranked.groupBy(*by).agg(*picks)
     return found.select(
+        *by,
         *[
             (
                 F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")
             ).alias(f"q{i}")
             for i in range(len(shares))
-        ]
+        ],
     )

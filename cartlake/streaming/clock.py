@@ -83,13 +83,17 @@ def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
 def fired_triggers(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """The triggers that fire on a stream of silver events.
 
+    Every event moves event time on, views too, so a reminder is not held back
+    until somebody fills a cart. Hence the filter follows the watermark and names
+    the event time, or the optimizer would push it below.
+
     Repeats of a session's event within one second are dropped first. That
     spreads a session with very many events over many tasks and leaves its clock
     at most one event per second and type.
     """
+    counts = F.when(F.col("event_time_ts").isNotNull(), F.col("event_type").isin(CART, PURCHASE))
     steps = (
-        silver.where(F.col("event_type").isin(CART, PURCHASE))
-        .select(
+        silver.select(
             "user_session",
             "user_id",
             "event_type",
@@ -97,6 +101,7 @@ def fired_triggers(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
             F.unix_seconds("event_time_ts").alias("sec"),
         )
         .withWatermark("event_time_ts", lateness)
+        .where(counts)
         .dropDuplicatesWithinWatermark(["user_session", "event_type", "sec"])
     )
     return steps.groupBy("user_session").applyInPandasWithState(
