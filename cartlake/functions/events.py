@@ -11,6 +11,7 @@ CART = "cart"
 PURCHASE = "purchase"
 EVENT_TYPES = (VIEW, CART, PURCHASE)
 TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
+TIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 TIME_LENGTH = 19
 UNKNOWN_CATEGORY = "outros.desconhecido"
 UNKNOWN_BRAND = "generico"
@@ -24,8 +25,13 @@ def clean_time_text(event_time: Column) -> Column:
 
 
 def parse_time(event_time: Column) -> Column:
-    """Null for unreadable text; ``to_timestamp`` would fail the job under ANSI."""
-    return F.try_to_timestamp(clean_time_text(event_time), F.lit(TIME_PATTERN))
+    """Null for unreadable text; ``to_timestamp`` would fail the job under ANSI.
+
+    A cast parses several times faster than a pattern but takes more spellings,
+    so the shape of the text is checked first.
+    """
+    text = clean_time_text(event_time)
+    return F.when(text.rlike(TIME_SHAPE), text.try_cast("timestamp"))
 
 
 def night_flag(hour: Column) -> Column:
