@@ -22,7 +22,7 @@ from cartlake.operators.running import running_totals
 from cartlake.schemas import GOLD_COLUMNS
 from cartlake.session import stage
 
-DAY_SECONDS = 86_400
+HOUR_SECONDS = 3_600
 # Fixed value: abandon rate of a buyer without earlier carts.
 NO_HISTORY_RATE = 0.5
 
@@ -130,7 +130,7 @@ def with_history(base: DataFrame) -> DataFrame:
     """Add what the buyer did in earlier cart sessions, never in this one.
 
     ``base`` is read twice, once for the rows and once for the totals per buyer
-    and day, so it is staged. Days keep a buyer with a third of all carts from
+    and hour, so it is staged. Hours keep a buyer with a third of all carts from
     being sorted in one task.
     """
     carts = stage(base, "session-base").withColumns(
@@ -143,7 +143,7 @@ def with_history(base: DataFrame) -> DataFrame:
     counted = running_totals(
         carts,
         ["user_id"],
-        F.floor(F.col("first_event_sec") / DAY_SECONDS),
+        F.floor(F.col("first_event_sec") / HOUR_SECONDS),
         ["first_event_sec", "user_session"],
         sums={
             "user_prior_carts": "_cart",

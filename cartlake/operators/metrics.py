@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartlake.operators.running import running_totals
 
-SCORE_CHUNKS = 4096
+SCORE_CHUNKS = 65_536
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -25,15 +25,17 @@ STATE_SCHEMA = "t0 long, owner long, purchases array<long>, done_sec long, last_
 
 
 def merge_events(t0, owner, purchases, last_sec, batch: pd.DataFrame):
-    """Take one Arrow batch of a session's events into its clock."""
-    carts = batch[batch["event_type"] == CART]
-    if len(carts):
-        row = carts.loc[carts["sec"].idxmin()]
-        if t0 is None or row["sec"] < t0:
-            t0, owner = int(row["sec"]), int(row["user_id"])
-    bought = batch.loc[batch["event_type"] == PURCHASE, "sec"].unique()
-    last_sec = max(last_sec, int(batch["sec"].max()))
-    return t0, owner, sorted({*purchases, *map(int, bought)}), last_sec
+    """Take one Arrow batch of a session's events into its clock. Most sessions
+    have a handful of events, for which a loop is faster than pandas."""
+    bought = set(purchases)
+    events = zip(batch["event_type"].tolist(), batch["sec"].tolist(), batch["user_id"].tolist(), strict=True)
+    for kind, sec, user in events:
+        last_sec = max(last_sec, sec)
+        if kind == PURCHASE:
+            bought.add(sec)
+        elif t0 is None or sec < t0:
+            t0, owner = sec, user
+    return t0, owner, sorted(bought), last_sec
 
 
 def needed_purchases(t0, purchases, watermark_sec):

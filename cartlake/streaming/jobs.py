@@ -2,11 +2,12 @@
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartlake.operators import triggers
+from cartlake.operators import serving, triggers
 from cartlake.operators.silver import silver_events, with_month
 from cartlake.sources import sinks
 from cartlake.streaming import clock
@@ -50,21 +51,27 @@ def lake_writer(bronze_path: str, silver_path: str) -> Callable[[DataFrame, int]
     return write
 
 
-def serving_writer(silver_path: str, actions_path: str) -> Callable[[DataFrame, int], None]:
-    """Turn a batch of fired triggers into reminders and decisions."""
+def action_writer(silver_path: str, fired_path: str, actions_path: str) -> Callable[[DataFrame, int], None]:
+    """Turn a batch of fired triggers into reminders and decisions. The batch is
+    written first: reading it twice would run its stateful operators twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        silver = batch.sparkSession.read.parquet(silver_path)
-        sinks.append_batch(act(batch, silver), actions_path, batch_id)
+        spark = batch.sparkSession
+        sinks.append_batch(batch, fired_path, batch_id)
+        fired = spark.read.schema(batch.schema).parquet(f"{fired_path}/batch_id={batch_id}")
+        sinks.append_batch(act(fired, spark.read.parquet(silver_path)), actions_path, batch_id)
 
     return write
 
 
 def act(fired: DataFrame, silver: DataFrame) -> DataFrame:
     """The actions of fired triggers. The features of a decision come from the
-    silver table, of which only the sessions that fired are read into clocks."""
+    silver table: only events up to the last deadline, and only sessions that
+    fired, get as far as the clocks."""
     sessions = fired.select("user_session").distinct()
-    rows = triggers.clocks(silver.join(sessions, "user_session", "left_semi")).drop("user_id")
+    last = fired.agg(F.max("fires_at_sec")).scalar()
+    seen = silver.where(F.col("event_time_ts") <= F.timestamp_seconds(last))
+    rows = triggers.clocks(seen.join(sessions, "user_session", "left_semi")).drop("user_id")
     timed = rows.join(fired.select("user_session", "user_id", "trigger", "fires_at_sec"), "user_session")
     parts = [
         timed.where(F.col("trigger") == triggers.TRIGGERS[delay]).withColumn(
@@ -75,6 +82,46 @@ def act(fired: DataFrame, silver: DataFrame) -> DataFrame:
     return triggers.chain(triggers.reminders(parts[0]), triggers.decisions(parts[1]))
 
 
+def serving_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Load a batch of scored carts into the two serving tables."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_batch(serving.serving_session_features(batch), f"{path}/session_features", batch_id)
+        sinks.append_batch(serving.serving_prescriptions(batch), f"{path}/cart_coupons_prescribed", batch_id)
+
+    return write
+
+
+def recent_writer(path: str, n: int = 60) -> Callable[[DataFrame, int], None]:
+    """Keep the newest ``n`` carts: those of the batch, then those kept before.
+    Only earlier batches are read, so a batch that runs again gives the same list."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.orderBy(F.desc("last_cart_sec"), "user_session").limit(n).withColumn("is_new", F.lit(True))
+        if batch_id > 0:
+            kept = spark.read.schema(new.schema).parquet(f"{path}/batch_id={batch_id - 1}")
+            new = new.unionByName(kept.withColumn("is_new", F.lit(False)))
+        newest = new.orderBy(F.desc("is_new"), F.desc("last_cart_sec"), "user_session").limit(n)
+        sinks.append_batch(newest, path, batch_id)
+
+    return write
+
+
+def fan_out(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Give one micro-batch to several writers. It is computed once for all."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            for writer in writers:
+                writer(held, batch_id)
+        finally:
+            held.unpersist()
+
+    return write
+
+
 def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception():

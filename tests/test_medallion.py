@@ -171,3 +171,19 @@ def test_dimensions(bronze):
     assert (float(products[1].price), products[1].main_category) == (7.0, "x")
     assert (products[2].main_category, products[2].brand) == ("other", "generico")
     assert [r.day for r in serving.dim_date(silver).collect()] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+
+
+def test_jobs_from_the_command_line(spark, csv_folder, tmp_path, monkeypatch, capsys):
+    from cartlake import __main__ as jobs
+
+    forest, boosted = learning.RandomForestClassifier, learning.GBTClassifier
+    monkeypatch.setattr(learning, "random_forest", lambda seed: forest(labelCol=TARGET, numTrees=3, seed=seed))
+    monkeypatch.setattr(learning, "boosted_trees", lambda seed: boosted(labelCol=TARGET, maxIter=2, seed=seed))
+    lake, model = str(tmp_path / "lake"), str(tmp_path / "model")
+    jobs.main(["medallion", "--lake", lake, "--csv", f"{csv_folder}/*.csv", "--normalize", "--dedup"])
+    jobs.main(["campaign", "--lake", lake, "--model", model])
+    assert "roc_auc" in capsys.readouterr().out
+    jobs.main(["serving", "--lake", lake, "--model", model])
+    assert spark.read.parquet(f"{lake}/serving/session_features").count() > 0
+    jobs.main(["dashboard", "--lake", lake, "--out", str(tmp_path / "out")])
+    assert json.loads(spark.read.text(str(tmp_path / "out")).first().value)["kpis"]["totalCarts"] > 0

@@ -117,7 +117,7 @@ def test_actions_equal_batch(spark, bronze, tmp_path):
     silver.write.parquet(str(tmp_path / "silver"))
     query = jobs.start(
         clock.fired_triggers(stream(spark, folder)),
-        jobs.serving_writer(str(tmp_path / "silver"), str(tmp_path / "actions")),
+        jobs.action_writer(str(tmp_path / "silver"), str(tmp_path / "fired"), str(tmp_path / "actions")),
         str(tmp_path / "state"),
     )
     jobs.drain(query)
@@ -171,3 +171,27 @@ def test_newest_batch_wins(spark, tmp_path):
     sinks.append_batch(second, path, 1)
     rows = sinks.read_latest(spark, path, "session_id").collect()
     assert {(r.session_id, r.v) for r in rows} == {("a", 1), ("b", 2), ("c", 2)}
+
+
+def test_one_batch_feeds_all_sinks(spark, bronze, tmp_path):
+    log = hot_log(600)
+    scored = scoring.score(gold.gold_carts(silver_events(bronze(log))))
+    path = str(tmp_path / "scored")
+    scored.repartition(3).write.parquet(path)
+    source = spark.readStream.schema(scored.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    serve, recent = str(tmp_path / "serving"), str(tmp_path / "recent")
+    writers = jobs.fan_out(jobs.serving_writer(serve), jobs.recent_writer(recent, 10))
+    jobs.drain(jobs.start(source, writers, str(tmp_path / "state")))
+
+    carts = {r.user_session: r.last_cart_sec for r in scored.collect()}
+    table = sinks.read_latest(spark, f"{serve}/session_features", "session_id")
+    assert {r.session_id for r in table.collect()} == set(carts)
+    lists = {}
+    for r in spark.read.parquet(recent).collect():
+        lists.setdefault(r.batch_id, []).append(r)
+    assert {len(rows) for rows in lists.values()} == {10}
+    last = lists[max(lists)]
+    assert all(r.is_new for r in last)
+    sessions = {r.user_session for r in last}
+    batch = spark.read.parquet(path).count()
+    assert len(sessions) == 10 and batch == len(carts)
