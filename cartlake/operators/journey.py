@@ -24,9 +24,13 @@ def first_purchases(silver: DataFrame) -> DataFrame:
 
 def buyer_journey(silver: DataFrame, salts: int = 16) -> DataFrame:
     """One row per buyer with a purchase. Only the first purchase counts, and
-    only events strictly before it."""
+    only events strictly before it.
+
+    The purchases take part as events, so that every buyer has a row to join and
+    no second join has to bring back those without views or carts.
+    """
     purchases = first_purchases(silver)
-    steps = silver.where(F.col("event_type").isin(VIEW, CART)).select(
+    steps = silver.select(
         "user_id", "user_session", "event_type", "event_id", F.unix_seconds("event_time_ts").alias("sec")
     )
     placed = salted_join(steps, purchases, "user_id", F.col("event_id"), salts)
@@ -34,15 +38,16 @@ def buyer_journey(silver: DataFrame, salts: int = 16) -> DataFrame:
     other = F.col("user_session") != F.col("purchase_session")
     view = F.col("event_type") == VIEW
     cart = F.col("event_type") == CART
+    buyer = ["user_id", "purchase_sec", "purchase_session"]
     # Per session first: distinct sessions become plain sums, and a buyer with
     # many events is counted in many tasks.
-    per_session = placed.groupBy("user_id", "user_session").agg(
+    per_session = placed.groupBy(*buyer, "user_session").agg(
         F.count_if(before & other & view).alias("views"),
         F.count_if(before & other & cart).alias("carts"),
         F.count_if(before & ~other & view).alias("final_views"),
         F.min("sec").alias("first_sec"),
     )
-    per_user = per_session.groupBy("user_id").agg(
+    per_buyer = per_session.groupBy(*buyer).agg(
         F.count_if(F.col("carts") > 0).alias("prior_cart_sessions"),
         F.sum("carts").alias("prior_cart_items"),
         F.sum("views").alias("views_in_prior_sessions"),
@@ -50,26 +55,17 @@ def buyer_journey(silver: DataFrame, salts: int = 16) -> DataFrame:
         F.count_if(F.col("carts") + F.col("views") > 0).alias("total_prior_sessions"),
         F.min("first_sec").alias("first_sec"),
     )
-    counts = [
+    hours = F.round(hours_between(F.col("purchase_sec"), F.col("first_sec")), 2)
+    return per_buyer.select(
+        "user_id",
+        "purchase_session",
         "prior_cart_sessions",
         "prior_cart_items",
         "views_in_prior_sessions",
         "views_in_final_session",
+        (F.col("views_in_prior_sessions") + F.col("views_in_final_session")).alias("total_views_before_purchase"),
+        hours.alias("journey_duration_hours"),
         "total_prior_sessions",
-    ]
-    first_touch = F.least("first_sec", "purchase_sec")
-    return (
-        purchases.join(per_user, "user_id", "left")
-        .select(
-            "user_id",
-            "purchase_session",
-            *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
-            F.round(hours_between(F.col("purchase_sec"), first_touch), 2).alias("journey_duration_hours"),
-        )
-        .withColumn(
-            "total_views_before_purchase",
-            F.col("views_in_prior_sessions") + F.col("views_in_final_session"),
-        )
     )
 
 

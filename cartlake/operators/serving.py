@@ -11,6 +11,7 @@ from cartlake.functions.events import (
 )
 from cartlake.functions.offers import NO_COUPON
 from cartlake.schemas import NUMERIC_FEATURES, PRESCRIPTIONS, SESSION_FEATURES
+from cartlake.session import stage
 
 # What a prescription shows when its session row is missing.
 MISSING_ITEMS = 1
@@ -71,8 +72,8 @@ def latest_prescriptions(
 ) -> DataFrame:
     """The newest ``n`` prescriptions with their session's counts; the first
     ``last_batch`` of them are marked as new."""
-    newest = prescriptions.orderBy(F.desc("trigger_executed_sec"), "session_id").limit(n)
-    # n rows, a bound set by the caller.
+    # n rows, a bound set by the caller; read twice, so staged.
+    newest = stage(prescriptions.orderBy(F.desc("trigger_executed_sec"), "session_id").limit(n), "newest")
     keys = F.broadcast(newest.select("session_id"))
     counts = features.select("session_id", "num_cart_items", "num_views_before_cart").join(
         keys, "session_id", "left_semi"

@@ -66,13 +66,20 @@ def last_event_sec(silver: DataFrame) -> Column:
     return silver.agg(F.max(F.unix_seconds("event_time_ts"))).scalar()
 
 
-def fired(clock_rows: DataFrame, delay: int, as_of: Column) -> DataFrame:
-    deadline = F.col("t0") + delay
+def by_delay(texts: dict[int, str]) -> Column:
+    """The text that belongs to a row's delay."""
+    return F.when(F.col("delay") == FIVE_MINUTES, texts[FIVE_MINUTES]).otherwise(texts[ONE_HOUR])
+
+
+def fired(clock_rows: DataFrame, delays: list[int], as_of: Column) -> DataFrame:
+    """One row per clock and delay whose trigger has fired."""
+    timers = clock_rows.withColumn("delay", F.explode(F.array(*map(F.lit, delays))))
+    deadline = F.col("t0") + F.col("delay")
     unsold = F.col("bought_sec").isNull() | (F.col("bought_sec") > deadline)
-    return clock_rows.where(unsold & (deadline <= as_of)).withColumns(
+    return timers.where(unsold & (deadline <= as_of)).withColumns(
         {
-            "trigger": F.lit(TRIGGERS[delay]),
-            "time_window": F.lit(TIME_WINDOWS[delay]),
+            "trigger": by_delay(TRIGGERS),
+            "time_window": by_delay(TIME_WINDOWS),
             "fires_at_sec": deadline,
         }
     )
@@ -96,12 +103,9 @@ def reminders(fired_rows: DataFrame) -> DataFrame:
 def decisions(fired_rows: DataFrame) -> DataFrame:
     """The one-hour decision: features of the cart, risk, profile and offer."""
     last_cart = F.timestamp_seconds("last_cart_sec")
+    known = [c for c in ("user_session", "user_id", "trigger", "time_window", "fires_at_sec") if c in fired_rows.columns]
     carts = fired_rows.select(
-        "user_session",
-        "user_id",
-        "trigger",
-        "time_window",
-        "fires_at_sec",
+        *known,
         from_cents(F.col("cents")).alias("total_cart_value"),
         F.col("items").cast("int").alias("num_cart_items"),
         F.col("views").cast("int").alias("num_views_before_cart"),
@@ -125,26 +129,30 @@ def decisions(fired_rows: DataFrame) -> DataFrame:
 
 def trigger_5min(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
     as_of = last_event_sec(silver) if as_of is None else as_of
-    return reminders(fired(clocks(silver), FIVE_MINUTES, as_of))
+    return reminders(fired(clocks(silver), [FIVE_MINUTES], as_of))
 
 
 def trigger_1hour(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
     as_of = last_event_sec(silver) if as_of is None else as_of
-    return decisions(fired(clocks(silver), ONE_HOUR, as_of))
+    return decisions(fired(clocks(silver), [ONE_HOUR], as_of))
 
 
-def chain(reminder_rows: DataFrame, decision_rows: DataFrame) -> DataFrame:
-    """Both triggers as one list of actions."""
-    first = reminder_rows.select(
-        "user_session", "user_id", "trigger", "fires_at_sec",
-        F.col("action_type").alias("action"), F.col("message_body").alias("shown"), "status",
-    )
-    second = decision_rows.select(
-        "user_session", "user_id", "trigger", "fires_at_sec",
-        F.col("coupon_code").alias("action"), F.col("coupon_label").alias("shown"), "status",
+def actions(fired_rows: DataFrame) -> DataFrame:
+    """Fired triggers of either kind as one list of actions, from one pass."""
+    decided = decisions(fired_rows)
+    reminder = F.col("trigger") == TRIGGERS[FIVE_MINUTES]
+    return decided.select(
+        "user_session",
+        "user_id",
+        "trigger",
+        "fires_at_sec",
+        F.when(reminder, REMINDER_ACTION).otherwise(F.col("coupon_code")).alias("action"),
+        F.when(reminder, REMINDER_BODY).otherwise(F.col("coupon_label")).alias("shown"),
+        F.when(reminder, REMINDER_STATUS).otherwise(DECISION_STATUS).alias("status"),
     )
-    return first.unionByName(second)
 
 
 def trigger_chain(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
-    return chain(trigger_5min(silver, as_of), trigger_1hour(silver, as_of))
+    """Both triggers of each session."""
+    as_of = last_event_sec(silver) if as_of is None else as_of
+    return actions(fired(clocks(silver), [FIVE_MINUTES, ONE_HOUR], as_of))

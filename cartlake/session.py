@@ -6,6 +6,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of local sessions without a shared one, by application.
+LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Event times are UTC text, so hours and dates must be taken in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -41,9 +45,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cartlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in LOCAL_FOLDERS:
+        LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="cartlake-")
+    return LOCAL_FOLDERS[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -73,13 +73,7 @@ def act(fired: DataFrame, silver: DataFrame) -> DataFrame:
     seen = silver.where(F.col("event_time_ts") <= F.timestamp_seconds(last))
     rows = triggers.clocks(seen.join(sessions, "user_session", "left_semi")).drop("user_id")
     timed = rows.join(fired.select("user_session", "user_id", "trigger", "fires_at_sec"), "user_session")
-    parts = [
-        timed.where(F.col("trigger") == triggers.TRIGGERS[delay]).withColumn(
-            "time_window", F.lit(triggers.TIME_WINDOWS[delay])
-        )
-        for delay in (triggers.FIVE_MINUTES, triggers.ONE_HOUR)
-    ]
-    return triggers.chain(triggers.reminders(parts[0]), triggers.decisions(parts[1]))
+    return triggers.actions(timed)
 
 
 def serving_writer(path: str) -> Callable[[DataFrame, int], None]:
