@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from cartlake.operators.silver import silver_events
 from cartlake.plans import campaign, medallion
 from cartlake.session import use_utc
-from cartlake.sources import topics
+from cartlake.sources import files, topics
 from cartlake.streaming import clock, jobs
 
 
@@ -31,19 +31,27 @@ def run_dashboard(spark, args, lake):
 
 
 def run_stream(spark, args, lake):
-    """Land raw events and raise the two reminders, side by side."""
+    """Land raw events in bronze and silver, and raise the reminders from the
+    landed silver, so that a decision finds all events its trigger has seen."""
     if args.servers:
         raw = topics.read_topic(spark, args.servers, args.topic)
     else:
         raw = topics.read_event_files(spark, args.folder)
-    state = f"{lake.root}/state"
-    landing = jobs.lake_writer(f"{lake.root}/bronze/live_stream", f"{lake.root}/silver/live_stream")
-    jobs.start(raw, landing, f"{state}/landing", every=args.every)
-    silver = silver_events(raw)
-    actions = jobs.action_writer(f"{lake.root}/silver/live_stream", f"{lake.root}/fired", f"{lake.root}/actions")
-    fired = clock.fired_triggers(silver)
-    jobs.start(fired, actions, f"{state}/triggers", every=args.every)
-    spark.streams.awaitAnyTermination()
+    every = None if args.once else args.every
+    live = f"{lake.root}/silver/live_stream"
+    files.ensure_folder(spark, live)
+    landing = jobs.start(
+        raw, jobs.lake_writer(f"{lake.root}/bronze/live_stream", live), f"{lake.root}/state/landing", every=every
+    )
+    if args.once:
+        jobs.drain(landing)
+    silver = spark.readStream.schema(silver_events(raw).schema).parquet(live)
+    actions = jobs.action_writer(live, f"{lake.root}/fired", f"{lake.root}/actions")
+    fired = jobs.start(clock.fired_triggers(silver), actions, f"{lake.root}/state/triggers", every=every)
+    if args.once:
+        jobs.drain(fired)
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -73,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--folder", help="folder of JSON-lines files")
     sub.add_argument("--topic", default=topics.EVENT_TOPIC)
     sub.add_argument("--every", default="2 seconds")
+    sub.add_argument("--once", action="store_true", help="take what is there and stop")
     return top
 
 

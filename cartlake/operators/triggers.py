@@ -66,11 +66,6 @@ def last_event_sec(silver: DataFrame) -> Column:
     return silver.agg(F.max(F.unix_seconds("event_time_ts"))).scalar()
 
 
-def by_delay(texts: dict[int, str]) -> Column:
-    """The text that belongs to a row's delay."""
-    return F.when(F.col("delay") == FIVE_MINUTES, texts[FIVE_MINUTES]).otherwise(texts[ONE_HOUR])
-
-
 def fired(clock_rows: DataFrame, delays: list[int], as_of: Column) -> DataFrame:
     """One row per clock and delay whose trigger has fired."""
     timers = clock_rows.withColumn("delay", F.explode(F.array(*map(F.lit, delays))))
@@ -78,8 +73,9 @@ def fired(clock_rows: DataFrame, delays: list[int], as_of: Column) -> DataFrame:
     unsold = F.col("bought_sec").isNull() | (F.col("bought_sec") > deadline)
     return timers.where(unsold & (deadline <= as_of)).withColumns(
         {
-            "trigger": by_delay(TRIGGERS),
-            "time_window": by_delay(TIME_WINDOWS),
+            "trigger": F.when(F.col("delay") == FIVE_MINUTES, TRIGGERS[FIVE_MINUTES]).otherwise(
+                TRIGGERS[ONE_HOUR]
+            ),
             "fires_at_sec": deadline,
         }
     )
@@ -91,7 +87,7 @@ def reminders(fired_rows: DataFrame) -> DataFrame:
         "user_session",
         "user_id",
         "trigger",
-        "time_window",
+        F.lit(TIME_WINDOWS[FIVE_MINUTES]).alias("time_window"),
         "fires_at_sec",
         F.lit(REMINDER_ACTION).alias("action_type"),
         F.lit(REMINDER_TITLE).alias("message_title"),
@@ -100,12 +96,20 @@ def reminders(fired_rows: DataFrame) -> DataFrame:
     )
 
 
-def decisions(fired_rows: DataFrame) -> DataFrame:
-    """The one-hour decision: features of the cart, risk, profile and offer."""
+def decisions(
+    fired_rows: DataFrame, p: Column | None = None, profile: Column | None = None
+) -> DataFrame:
+    """The one-hour decision: features of the cart, risk, profile and offer. The
+    rules stand in where no model's risk or profile is given."""
+    p = risk.stream_risk() if p is None else p
+    profile = profiles.rule_a() if profile is None else profile
     last_cart = F.timestamp_seconds("last_cart_sec")
-    known = [c for c in ("user_session", "user_id", "trigger", "time_window", "fires_at_sec") if c in fired_rows.columns]
     carts = fired_rows.select(
-        *known,
+        "user_session",
+        "user_id",
+        "trigger",
+        F.lit(TIME_WINDOWS[ONE_HOUR]).alias("time_window"),
+        "fires_at_sec",
         from_cents(F.col("cents")).alias("total_cart_value"),
         F.col("items").cast("int").alias("num_cart_items"),
         F.col("views").cast("int").alias("num_views_before_cart"),
@@ -114,8 +118,7 @@ def decisions(fired_rows: DataFrame) -> DataFrame:
         F.hour(last_cart).alias("hour_of_day"),
         night_flag(F.hour(last_cart)).alias("is_night"),
     )
-    scored = carts.withColumn("p_abandonment", risk.stream_risk())
-    offered = with_prescription(scored, profiles.rule_a())
+    offered = with_prescription(carts.withColumn("p_abandonment", p), profile)
     p = F.col("p_abandonment")
     return offered.withColumns(
         {

@@ -22,12 +22,21 @@ def read_events_json(
     return spark.read.schema(schema).json(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, whichever the path names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Sorted paths matching a glob, on whatever file system the path names."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(hadoop)
-    return sorted(status.getPath().toString() for status in found or [])
+    """Sorted paths matching a glob."""
+    path, system = hadoop_path(spark, pattern)
+    return sorted(status.getPath().toString() for status in system.globStatus(path) or [])
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    folder, system = hadoop_path(spark, path)
+    system.mkdirs(folder)
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

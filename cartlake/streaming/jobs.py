@@ -59,6 +59,8 @@ def action_writer(silver_path: str, fired_path: str, actions_path: str) -> Calla
         spark = batch.sparkSession
         sinks.append_batch(batch, fired_path, batch_id)
         fired = spark.read.schema(batch.schema).parquet(f"{fired_path}/batch_id={batch_id}")
+        if fired.isEmpty():
+            return
         sinks.append_batch(act(fired, spark.read.parquet(silver_path)), actions_path, batch_id)
 
     return write

@@ -74,8 +74,8 @@ def test_chain_is_both(bronze):
 def test_sample_trigger_input(spark):
     """A night cart with four views is a bargain hunter's."""
     fired = spark.createDataFrame(
-        [("s", 386070015, "CART_PLUS_1_HOUR", "1 hora após cart", 0, 19752, 1, 4, 5 * 3600 + 153, 5 * 3600)],
-        "user_session string, user_id long, trigger string, time_window string, fires_at_sec long, "
+        [("s", 386070015, "CART_PLUS_1_HOUR", 0, 19752, 1, 4, 5 * 3600 + 153, 5 * 3600)],
+        "user_session string, user_id long, trigger string, fires_at_sec long, "
         "cents long, items long, views long, last_cart_sec long, first_sec long",
     )
     row = triggers.decisions(fired).first()
