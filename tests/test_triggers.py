@@ -1,8 +1,11 @@
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
 from cartlake.operators import triggers
 from cartlake.operators.silver import silver_events
 from tests.conftest import by, event
+from tests.test_gold import hot_log
 
 EARLY = "2024-01-01 10:00:00"
 
@@ -81,3 +84,43 @@ def test_sample_trigger_input(spark):
     row = triggers.decisions(fired).first()
     assert (row.user_profile, row.coupon_code, row.total_cart_value) == ("bargain_hunter", "DESC10_FRETE", 197.52)
     assert (row.session_duration_sec, row.hour_of_day, row.is_night) == (153, 5, 1)
+
+
+def seconds(text):
+    return int(datetime.fromisoformat(text).replace(tzinfo=UTC).timestamp())
+
+
+def brute_force(events):
+    """(session, trigger, time) and the cart of the one-hour decision, by loops."""
+    sessions = {}
+    for e in events:
+        sessions.setdefault(e[7], []).append((seconds(e[0]), e))
+    as_of = max(seconds(e[0]) for e in events)
+    found = {}
+    for name, rows in sessions.items():
+        carts = [sec for sec, e in rows if e[1] == "cart"]
+        if not carts:
+            continue
+        t0 = min(carts)
+        bought = [sec for sec, e in rows if e[1] == "purchase"]
+        for delay, trigger in triggers.TRIGGERS.items():
+            due = t0 + delay
+            if due > as_of or any(t0 <= sec <= due for sec in bought):
+                continue
+            kept = [e for sec, e in rows if sec <= t0 + 3600]
+            value = round(sum(e[5] for e in kept if e[1] == "cart"), 2)
+            items = sum(e[1] == "cart" for e in kept)
+            views = sum(e[1] == "view" for e in kept)
+            cart = (value, items, views) if delay == triggers.ONE_HOUR else None
+            found[(name, trigger, due)] = cart
+    return found
+
+
+def test_hot_session_against_brute_force(bronze):
+    events = hot_log(1200, seed=3)
+    silver = silver_events(bronze(events))
+    got = {(r.user_session, r.trigger, r.fires_at_sec): None for r in triggers.trigger_5min(silver).collect()}
+    for r in triggers.trigger_1hour(silver).collect():
+        cart = (r.total_cart_value, r.num_cart_items, r.num_views_before_cart)
+        got[(r.user_session, r.trigger, r.fires_at_sec)] = cart
+    assert got == brute_force(events)
