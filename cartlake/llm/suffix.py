@@ -3,7 +3,7 @@
 The suffixes of a text that matter here are told apart by their first ``width`` bytes (50).
 Sorting every one of them costs more than reading the corpus many times, so a sparse
 sample of them decides which are looked at: each ``width``-byte string has a minimizer,
-the least hash of its 16-byte strings, and equal strings have equal minimizers.
+the least hash of its 24-byte strings, and equal strings have equal minimizers.
 
 1. Documents are packed into blocks (``blocks``), split by ranges of doc_id: the batches.
 2. Blocks send their distinct minimizers to shards; a shard returns to each block those
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from cartlake.llm import blocks as B
 from cartlake.session import stage
 
-WIDTH, GRAM = 50, 16
+WIDTH, GRAM = 50, 24
 RANGES = 8
 SHARD_BYTES = 24 << 20
 CHUNK = 1 << 17
@@ -85,7 +85,8 @@ def minimizers(data: np.ndarray) -> np.ndarray:
     span = WIDTH - GRAM + 1
     for at in range(0, count, CHUNK):
         n = min(CHUNK, count - at)
-        low, have = mix(rolled(data[at : at + n + WIDTH - 1], GRAM)[GRAM]), 1
+        h = rolled(data[at : at + n + WIDTH - 1], 16)
+        low, have = mix(h[16][: n + span - 1] * power(8) + h[8][16 : 16 + n + span - 1]), 1  # GRAM = 16 + 8
         while have * 2 <= span:
             low, have = np.minimum(low[:-have], low[have:]), have * 2
         rest = span - have
