@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, found with an Aho-Corasick automaton in folded text.
 
-Folding lower-cases, takes accents off, maps homoglyphs and digit substitutions to one
-letter each, and leaves words between single spaces; l, i, 1 and | become one letter.
+Folding lower-cases, maps homoglyphs and digit substitutions to one letter each, and leaves
+words between single spaces; l, i, 1 and | become one letter. A text with accents is read
+twice, with and without them, and the reading that finds more counts.
 The lexicon is learned from labelled rows: beginnings of words and whole words, weighted
 by the log odds of toxic over other documents. Exception phrases blank the words that they cover.
 The sum of weights, and the sum by length, go through a logistic curve.
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 from cartlake.llm import blocks as B
 from cartlake.session import stage
 
-ROWS, TERMS, LEAST, ODDS = 20_000, 3_000, 8, 3.0
+ROWS, TERMS, LEAST, ODDS = 20_000, 3_000, 8, 2.0
 THRESHOLD = 0.3
-PREFIXES = range(4, 9)
+PREFIXES = range(3, 9)
 #: Harmless phrases; each blanks the lexicon words inside it.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum", "stupid question", "idiot proof")
 #: Letters that look like, or stand for, another.
@@ -46,12 +47,12 @@ LOOKALIKES = {
 
 
 @functools.cache
-def folding() -> dict[int, str]:
+def folding(accents: bool) -> dict[int, str]:
     """Code points of Latin, Greek, Cyrillic and full-width letters, and ASCII, by rule."""
     table = {}
     for code in [*range(0x250), *range(0x370, 0x590), *range(0x2000, 0x2070), *range(0x3000, 0x3003), *range(0xFF01, 0xFF5F)]:
-        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)).lower() if not unicodedata.combining(c))
-        plain = "".join(LOOKALIKES.get(c, c) for c in plain)
+        parts = unicodedata.normalize("NFKC" if accents else "NFKD", chr(code)).lower()
+        plain = "".join(LOOKALIKES.get(c, c) for c in parts if not unicodedata.combining(c))
         plain = "".join(c if c.isalpha() else " " for c in plain)
         table[code] = "" if code in (0xAD, *range(0x200B, 0x2010)) else plain or " "
     for code in range(0x300, 0x370):
@@ -59,9 +60,15 @@ def folding() -> dict[int, str]:
     return table
 
 
-def fold(text: str) -> str:
+def fold(text: str, accents: bool = False) -> str:
     """Words of folded letters, with one space before, between and after them."""
-    return f" {' '.join(text.lower().translate(folding()).split())} "
+    if accents:
+        text = unicodedata.normalize("NFC", text)
+    return f" {' '.join(text.lower().translate(folding(accents)).split())} "
+
+
+def readings(text: str) -> list[str]:
+    return [fold(text)] if text.isascii() else [fold(text), fold(text, True)]
 
 
 @dataclass
@@ -102,9 +109,9 @@ class Lexicon:
         return sum(w for _, w in best.values())
 
     def measures(self, text: str) -> tuple[float, float]:
-        folded = fold(text)
-        total = self.found(folded)
-        return math.log1p(total), math.log1p(100 * total / (folded.count(" ") + 20))
+        read = readings(text)
+        total = max(map(self.found, read))
+        return math.log1p(total), math.log1p(100 * total / (read[0].count(" ") + 20))
 
     def score(self, text: str) -> float:
         a, b, c = self.curve
@@ -138,7 +145,7 @@ def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for batch in batches:
         for text, toxic in zip(batch["text"], batch["toxic"]):
-            words = set(fold(text).split())
+            words = {w for read in readings(text) for w in read.split()}
             terms = {f" {w} " for w in words}
             terms.update(f" {w[:n]}" for w in words for n in PREFIXES if len(w) >= n)
             counts[1 if toxic == 1 else 0].update(terms)
@@ -146,11 +153,15 @@ def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"term": terms, "toxic": [counts[1][t] for t in terms], "other": [counts[0][t] for t in terms]})
 
 
-def shortest(rows: list[tuple[str, float]]) -> dict[str, float]:
-    """Without terms that only repeat what a shorter one, about as telling, already finds."""
+def telling(rows: list[tuple[str, float, int]]) -> dict[str, float]:
+    """The terms (term, weight, toxic documents) to keep: not a beginning that nearly always
+    goes on in one way, nor a longer term that a shorter one, about as telling, already finds."""
+    count = {term: toxic for term, _, toxic in rows}
+    least = min(PREFIXES) + 1
+    goes_on = {t[:n] for t in count for n in range(least, len(t)) if count[t] >= 0.9 * count.get(t[:n], math.inf)}
     kept: dict[str, float] = {}
-    for term, weight in sorted(rows, key=lambda r: (len(r[0]), r[0])):
-        if not any(kept.get(term[:n], -1.0) >= weight - 1.0 for n in range(4, len(term))):
+    for term, weight, _ in sorted((r for r in rows if r[0] not in goes_on), key=lambda r: (len(r[0]), r[0])):
+        if not any(kept.get(term[:n], -1.0) >= weight - 1.0 for n in range(least, len(term))):
             kept[term] = weight
     return kept
 
@@ -179,7 +190,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, terms: int = TER
         .withColumn("weight", odds).filter((F.col("toxic") >= LEAST) & (F.col("weight") >= ODDS))
         .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term").limit(terms).collect()
     )
-    lexicon = Lexicon(shortest([(r["term"], r["weight"]) for r in found]), exceptions)
+    lexicon = Lexicon(telling([(r["term"], r["weight"], r["toxic"]) for r in found]), exceptions)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
