@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlake.session import stage
-
 SEEDS = (11, 12)
 DIMENSIONS = 64 * len(SEEDS)
 LANES = 22
@@ -103,23 +101,38 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((a["n"] == b["n"]) & (a["v"] == b["v"]), 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), shared)))
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id) of distinct ids: the next in descending order, after the last the first.
-
-    Ids are dealt by ranges; inside a range a window finds the next, and the ends of ranges
-    are linked through one row per range."""
-    ranges = max(2, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = ids.repartitionByRange(ranges, "doc_id").select("doc_id", F.spark_partition_id().alias("range"))
-    dealt = stage(dealt, "id-ranges")  # written once, so that ranges cannot move
-    inside = Window.partitionBy("range").orderBy("doc_id")
-    linked = dealt.withColumn("below", F.lag("doc_id").over(inside))
-    ends = dealt.groupBy("range").agg(F.max("doc_id").alias("top"))
-    row = Window.orderBy("range")
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select(
-        F.col("range"), F.coalesce(F.lag("top").over(row), F.max("top").over(everything)).alias("before")
-    )
-    return linked.join(ends, "range").select("doc_id", F.coalesce("below", "before").alias("next_id"))
+def range_of(value: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts are below the value, by bisection; -1 for a null."""
+    table = F.expr(f"array({', '.join(f'{c}L' for c in cuts)})") if cuts else None
+    if table is None:
+        return F.when(value.isNull(), -1).otherwise(0)
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["low"] + state["high"], 1)
+        beyond = F.coalesce(F.get(table, middle) < value, F.lit(False))
+        step = F.struct(
+            F.when(beyond, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(beyond, state["high"]).otherwise(middle).alias("high"),
+        )
+        return F.when(state["low"] < state["high"], step).otherwise(state)
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length() + 1))
+    return F.when(value.isNull(), -1).otherwise(F.aggregate(steps, start, halve, lambda state: state["low"]))
+
+
+def first_of_next_range(texts: DataFrame) -> DataFrame:
+    """(range, text): for each range the text that follows its last document. Only the first
+    document of each range is read for it, one row per range."""
+    tops = texts.groupBy("range").agg(F.max("doc_id").alias("doc_id")).collect()
+    order = sorted((r["range"] for r in tops), reverse=True)
+    follows = [(b, a) for a, b in zip(order, order[1:] + order[:1])]
+    spark = texts.sparkSession
+    top = spark.createDataFrame([(r["range"], r["doc_id"]) for r in tops], "range int, doc_id long").alias("top")
+    same = F.expr("texts.range = top.range AND texts.doc_id <=> top.doc_id")
+    first = texts.alias("texts").join(F.broadcast(top), same).groupBy("texts.range").agg(F.min("text").alias("text"))
+    follows = spark.createDataFrame(follows, "range int, before int")
+    return first.join(F.broadcast(follows), "range").select(F.col("before").alias("range"), "text")
 
 
 def edits(docs: DataFrame) -> DataFrame:
@@ -127,30 +140,32 @@ def edits(docs: DataFrame) -> DataFrame:
     near_edited, near_next.
 
     The edited text has the first floor(n_chars / 2) code points, or all, of the next
-    document in place of as many at its end. Null texts are empty. Rows that share a
-    doc_id are edited with the same next document; where that id has several rows, its
-    least text counts. Rows without doc_id, and no other ones, have no next document: their end
-    is cut off, and near_next is 0. A single document is its own next. An empty table
-    gives an empty result. Other columns are not read.
+    document in place of as many at its end. Documents stand in descending order of
+    doc_id, rows without one last, rows with one id by text; after the last comes the
+    first. Null texts are empty. A single document is its own next. An empty table gives
+    an empty result. Other columns are not read.
+
+    Ids are dealt by ranges with as many documents each, so texts move once; each range
+    also gets the first text of the one that follows.
     """
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    printed = with_fingerprint(texts, "text", "print").withColumn("n_chars", F.length("text"))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    own = printed.select(
-        "doc_id", "n_chars", "print", half.alias("half"), F.expr("left(text, n_chars - floor(n_chars / 2))").alias("head")
-    )
-    ids = texts.filter("doc_id is not null").select("doc_id").distinct()
-    pairs = following(ids)
-    least = texts.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("next_text"))
-    after = with_fingerprint(least, "next_text", "next_print").withColumnRenamed("doc_id", "next_id")
-    after = pairs.join(after, "next_id").select("doc_id", "next_text", "next_print")
-    joined = own.join(after, "doc_id", "left").withColumn(
-        "edited", F.concat("head", F.coalesce(F.expr("left(next_text, half)"), F.lit("")))
+    ranges = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = [i / ranges for i in range(1, ranges)]
+    cuts = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), share, 100_000)).first()[0] or []
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    ).withColumn("range", range_of(F.col("doc_id"), sorted(set(cuts))))
+    after = first_of_next_range(texts).select(F.lit(None).cast("long").alias("doc_id"), "text", "range", F.lit(1).alias("extra"))
+    every = with_fingerprint(texts.withColumn("extra", F.lit(0)).unionByName(after), "text", "print")
+    line = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("doc_id"), "text")
+    follows = every.withColumn("next", F.lead(F.struct("text", "print")).over(line)).filter("extra = 0")
+    joined = follows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), "print", F.col("next.print").alias("next_print"),
+        F.expr("concat(left(text, length(text) - length(text) div 2), left(next.text, int(length(text) div 2)))").alias("edited"),
     )
-    done = with_fingerprint(joined.drop("next_text", "head"), "edited", "edited_print")
+    done = with_fingerprint(joined, "edited", "edited_print")
     return done.select(
-        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("print")).alias("fingerprint"), as_text(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        F.coalesce(likeness(F.col("print"), F.col("next_print")), F.lit(0.0)).alias("near_next"),
+        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
     )
