@@ -24,7 +24,7 @@ from cartlake.llm import blocks as B
 from cartlake.session import stage
 
 ROWS, BUCKETS, STEPS = 6_000, 1024, 40
-#: Wanted shares of tokens: 0 plain, 1 good, 2 toxic.
+#: Wanted shares of tokens.
 DOMAINS = ("poor", "good", "toxic")
 TARGETS = {"poor": 0.1, "good": 0.88, "toxic": 0.02}
 SPACES = np.zeros(256, bool)
@@ -155,13 +155,13 @@ def rate(gradients: list[list[float]], floor: float, ridge: float, step: float)
 
 
 def mix(
-    members: DataFrame, targets: list[float], floor: float = 0.0, budget: float | None = None,
+    members: DataFrame, targets: list[float], floor: float = 0.0, growth: float = 1.0,
     steps: int = STEPS, ridge: float = 0.01,
 ) -> tuple[DataFrame, list[float], list[float]]:
     """``members`` with ``rate`` and ``copies``, the wanted tokens and the expected ones by domain.
 
-    ``targets``: shares of the ``budget`` in tokens (by default all tokens; if ``floor`` is 1
-    or more, as many as let no domain shrink). ``copies`` is the rate rounded up or down by
+    ``targets``: shares of ``growth`` times all tokens. No rate goes below ``floor``; domains
+    that this keeps over their target stay over it. ``copies`` is the rate rounded up or down by
     a hash of the row, so its mean is the rate, and the same row always gets the same. A table
     without tokens keeps rate 1, or ``floor``. Shares must be positive and sum to 1.
     """
@@ -175,9 +175,7 @@ def mix(
     if not total:
         even = members.withColumn("rate", F.lit(max(1.0, floor))).withColumn("copies", F.ceil("rate").cast("int"))
         return even, [0.0 for _ in k], [0.0 for _ in k]
-    if budget is None:
-        budget = max([total, *(h / t for h, t in zip(have, targets))]) if floor >= 1 else total
-    wanted = [budget * t for t in targets]
+    wanted = [growth * total * t for t in targets]
     # Totals are measured by their targets, so the gradient at a document with posterior p is
     # the weighted sum of p_k (have_k - wanted_k) / wanted_k times a common factor.
     scale = [max(h, 1e-9) / w for h, w in zip(have, wanted)]
@@ -211,14 +209,16 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     )
 
 
-def resampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 1.0) -> DataFrame:
+def resampled(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 1.0, growth: float = 1.25,
+) -> DataFrame:
     """The documents themselves, each as often as its copies say."""
     targets = targets or TARGETS
     classifier = learn(docs, domain_labels(labels), len(DOMAINS))
     names = docs.columns
     held = docs.withColumn("_text", F.col("text"))
     members = memberships(held, classifier, [c for c in names if c != "text"] + ["_text"])
-    done, _, _ = mix(members, [targets[d] for d in DOMAINS], floor)
+    done, _, _ = mix(members, [targets[d] for d in DOMAINS], floor, growth)
     repeated = done.withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))) if floor >= 1 else (
         done.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     )

@@ -49,13 +49,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that the expected tokens of the domains meet the targets; the
-    floor of one copy keeps every document."""
+    floor of one copy keeps every document, and about a quarter of all tokens is added."""
     return mixing.resampled(docs, labels(spark, sf_dir))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and the token ids as little-endian 32-bit integers; ids
-    that do not decode to the text again raise an error."""
+    """doc_id, lang, source, n_tokens and the token ids as little-endian 32-bit integers."""
     keep = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
     return bpe.encode(docs, keep=keep).select("row.*", "n_tokens", "ids")
 

@@ -26,7 +26,7 @@ def test_expected_totals_meet_targets(spark, floor):
     docs, labels = table(spark)
     classifier = mixing.learn(docs, mixing.domain_labels(labels), 3)
     members = mixing.memberships(docs, classifier)
-    done, wanted, totals = mixing.mix(members, [0.2, 0.7, 0.1], floor)
+    done, wanted, totals = mixing.mix(members, [0.2, 0.7, 0.1], floor, 1.0 + 0.3 * floor)
     rows = done.select("row.doc_id", "n_tokens", "posterior", "rate", "copies").collect()
     again = np.sum([r["rate"] * r["n_tokens"] * np.array(r["posterior"]) for r in rows], axis=0)
     assert np.allclose(again, totals, rtol=1e-6)
