@@ -166,8 +166,10 @@ def predict(model: PipelineModel, carts: DataFrame) -> DataFrame:
     missing = [c for c in MODEL_COLUMNS if c not in carts.columns]
     if missing:
         return carts.join(scored, "user_session")
-    # All columns are there, so the carts can be scored in place.
-    return model.transform(carts).withColumn("p_abandonment", probability()).select(*carts.columns, "p_abandonment")
+    # All columns are there, so the carts can be scored in place, beside what they held.
+    held = carts.withColumn("held", F.struct(*carts.columns))
+    filled = held.fillna(0, NUMERIC_FEATURES).fillna(MODEL_DEFAULTS)
+    return model.transform(filled).select("held.*", probability().alias("p_abandonment"))
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def rejection_reason() -> Column:
     return (
         F.when(parse_time(F.col("event_time")).isNull(), "bad_time")
         .when(keys[0] | keys[1] | keys[2], "missing_key")
-        .when(F.coalesce(F.col("price") <= 0, F.lit(True)), "bad_price")
+        .when(~F.coalesce((F.col("price") > 0) & (F.col("price") < float("inf")), F.lit(False)), "bad_price")
         .when(F.coalesce(~F.col("event_type").isin(*EVENT_TYPES), F.lit(True)), "bad_type")
         .otherwise(ACCEPTED)
     )
@@ -58,6 +58,7 @@ def silver_events(bronze: DataFrame, normalize: bool = False, dedup: bool = Fals
         & F.col("user_id").isNotNull()
         & F.col("user_session").isNotNull()
         & (F.col("price") > 0)
+        & (F.col("price") < float("inf"))
         & F.col("event_type").isin(*EVENT_TYPES)
     )
     timed = trusted.withColumns(

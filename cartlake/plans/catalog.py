@@ -103,7 +103,8 @@ def silver_dedup(x: Layers) -> DataFrame:
 
 @query
 def sampled_load(x: Layers) -> DataFrame:
-    return sample_files([x.bronze], ["event_time", "event_id"], 200_000)
+    parts = [x.bronze.where(F.col("event_id") % 3 == part) for part in range(3)]
+    return sample_files(parts, ["event_time", "event_id"], 300)
 
 
 @query

@@ -132,7 +132,7 @@ SQL["silver_quality_report"] = f"""{FROM_BRONZE}
 select case
     when try_strptime(substr(event_time, 1, 19), '%Y-%m-%d %H:%M:%S') is null then 'bad_time'
     when product_id is null or user_id is null or user_session is null then 'missing_key'
-    when price is null or price <= 0 then 'bad_price'
+    when price is null or price <= 0 or not isfinite(price) then 'bad_price'
     when event_type is null or event_type not in ('view', 'cart', 'purchase') then 'bad_type'
     else 'accepted' end as outcome,
   count(*) as events
@@ -142,7 +142,9 @@ SQL["silver_dedup"] = f"""{FROM_SILVER}
 select min(event_id) as event_id, event_time, event_type, product_id, category_id, category_code,
   brand, price, user_id, user_session, hour_of_day, is_night
 from silver group by all"""
-SQL["sampled_load"] = f"{FROM_BRONZE} select * from bronze order by event_time, event_id limit 200000"
+SQL["sampled_load"] = f"""{FROM_BRONZE}
+select * from bronze
+qualify row_number() over (partition by event_id % 3 order by event_time, event_id) <= 100"""
 SQL["partitioned_silver"] = f"""{FROM_SILVER}
 select cast(year(t) as integer) as year, cast(month(t) as integer) as month, count(*) as events,
   cast(sum(cast(price as decimal(18,2))) as double) as amount

@@ -40,7 +40,7 @@ silver as (
     case when hour(t) >= 22 or hour(t) < 6 then 1 else 0 end as is_night
   from timed
   where t is not null and product_id is not null and user_id is not null
-    and user_session is not null and price > 0
+    and user_session is not null and price > 0 and isfinite(price)
     and event_type in ('view', 'cart', 'purchase'))"""
 
 SESSIONS = """

@@ -46,8 +46,10 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 def sample_files(parts: list[DataFrame], order: list[str], sample_n: int | None) -> DataFrame:
     """``sample_n // len(parts)`` rows from each part, first in ``order``; all
     rows when no size is given. The total order makes the sample repeatable."""
-    per_part = sample_n // len(parts) if sample_n else None
-    if per_part:
+    if sample_n is not None:
+        per_part = sample_n // len(parts)
+        if per_part < 1:
+            raise ValueError(f"a sample of {sample_n} rows is less than one for each of {len(parts)} parts")
         parts = [part.orderBy(*order).limit(per_part) for part in parts]
     return union_all(parts)
 
@@ -55,16 +57,19 @@ def sample_files(parts: list[DataFrame], order: list[str], sample_n: int | None)
 def load_events(
     spark: SparkSession,
     folder: str,
-    sample_n: int | None = 200_000,
+    sample_n: int | None = None,
     file_pattern: str | None = None,
 ) -> DataFrame:
-    """The CSV logs of a folder. A pattern that matches no file name is ignored."""
+    """The CSV logs of a folder, or of the files whose path has ``file_pattern``; all rows
+    unless a sample is asked for."""
     paths = list_files(spark, f"{folder}/*.csv")
     if not paths:
         raise FileNotFoundError(f"no .csv file in {folder}")
     if file_pattern:
-        paths = [p for p in paths if file_pattern in p] or paths
-    if not sample_n:
+        paths = [p for p in paths if file_pattern in p]
+        if not paths:
+            raise FileNotFoundError(f"no .csv file in {folder} has {file_pattern!r} in its path")
+    if sample_n is None:
         return read_events_csv(spark, paths)
     parts = [read_events_csv(spark, path) for path in paths]
     return sample_files(parts, BRONZE.names, sample_n)
@@ -82,8 +87,8 @@ def read_layer(spark: SparkSession, path: str, fallback: str | None = None) -> D
     """All Parquet files below a prefix; the fallback when the prefix has none."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        if fallback is None:
+    except AnalysisException as error:
+        if fallback is None or error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.read.parquet(fallback)
 

@@ -16,8 +16,9 @@ from cartlake.functions.events import CART, PURCHASE
 from cartlake.operators.triggers import FIVE_MINUTES, ONE_HOUR, TRIGGERS
 
 LATENESS = "10 minutes"
-# A finished clock stays known for a day, so that later carts of the same
-# session do not start a second one.
+# A finished clock stays known for so long, so that later carts of the same
+# session do not start a second one. None: for good, as the batch form has it, at
+# the price of a state that grows with the number of sessions.
 KEEP_SECONDS = 86_400
 
 FIRED_SCHEMA = "user_session string, user_id long, trigger string, t0 long, fires_at_sec long"
@@ -47,7 +48,9 @@ def needed_purchases(t0, purchases, watermark_sec):
     return [p for p in purchases if watermark_sec < p < t0] + since[:1]
 
 
-def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def advance(
+    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, keep_seconds: int | None = KEEP_SECONDS
+) -> Iterator[pd.DataFrame]:
     t0, owner, purchases, done_sec, last_sec = state.get if state.exists else (None, None, [], 0, 0)
     purchases = list(purchases or [])
     if not state.hasTimedOut:
@@ -71,18 +74,22 @@ def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     elif done_sec < ONE_HOUR:
         wake = t0 + (FIVE_MINUTES if done_sec < FIVE_MINUTES else ONE_HOUR)
     else:
-        wake = max(t0 + ONE_HOUR, last_sec) + KEEP_SECONDS
-    over = wake * 1000 < watermark_ms and (t0 is None or done_sec == ONE_HOUR)
+        wake = max(t0 + ONE_HOUR, last_sec) + (keep_seconds or 0)
+    forever = keep_seconds is None and t0 is not None and done_sec == ONE_HOUR
+    over = not forever and wake * 1000 < watermark_ms and (t0 is None or done_sec == ONE_HOUR)
     if over:
         state.remove()
     else:
         state.update((t0, owner, purchases, done_sec, last_sec))
-        state.setTimeoutTimestamp(max(wake * 1000, watermark_ms + 1))
+        if not forever:
+            state.setTimeoutTimestamp(max(wake * 1000, watermark_ms + 1))
     if rows:
         yield pd.DataFrame(rows, columns=["user_session", "user_id", "trigger", "t0", "fires_at_sec"])
 
 
-def fired_triggers(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
+def fired_triggers(
+    silver: DataFrame, lateness: str = LATENESS, keep_seconds: int | None = KEEP_SECONDS
+) -> DataFrame:
     """The triggers that fire on a stream of silver events.
 
     Every event moves event time on, views too, so a reminder is not held back
@@ -91,8 +98,13 @@ def fired_triggers(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
     Repeats of a session's event within one second are dropped first. That
     spreads a session with very many events over many tasks and leaves its clock
-    at most one event per second and type.
+    at most one event per second and type. ``keep_seconds``: how long a finished
+    session is remembered; None for good.
     """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        return advance(key, batches, state, keep_seconds)
+
     counts = F.when(F.col("event_time_ts").isNotNull(), F.col("event_type").isin(CART, PURCHASE))
     steps = (
         silver.select(
@@ -107,5 +119,5 @@ def fired_triggers(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
         .dropDuplicatesWithinWatermark(["user_session", "event_type", "sec"])
     )
     return steps.groupBy("user_session").applyInPandasWithState(
-        advance, FIRED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+        step, FIRED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )

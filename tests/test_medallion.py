@@ -65,7 +65,10 @@ def test_loading_csv(spark, csv_folder):
     october = files.load_events(spark, str(csv_folder), None, "Oct").count()
     november = files.load_events(spark, str(csv_folder), None, "Nov").count()
     assert october + november == 500
-    assert files.load_events(spark, str(csv_folder), None, "no such file").count() == 500
+    with pytest.raises(FileNotFoundError):
+        files.load_events(spark, str(csv_folder), None, "no such file")
+    with pytest.raises(ValueError):
+        files.load_events(spark, str(csv_folder), 1)
     sample = files.load_events(spark, str(csv_folder), 101)
     assert sample.count() == 100
     assert sorted(map(str, sample.collect())) == sorted(map(str, files.load_events(spark, str(csv_folder), 101).collect()))
