@@ -37,12 +37,12 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 bytes or more that an earlier document has.
 
-    Bytes of a character that was cut in two go as well. A document of which nothing is
+    Bytes of a character that was cut in two go as well, and so do replacement characters. A document of which nothing is
     left goes; n_chars, if there, is counted again."""
     names = docs.columns
     done = suffix.dedup_passages(docs, keep=names).filter("n_removed = 0 or n_removed < n_bytes")
-    text = F.regexp_replace(F.decode("kept", "UTF-8"), "�", "")
-    text = F.when(F.col("n_removed") > 0, text).otherwise(F.decode("kept", "UTF-8"))
+    kept = F.col("kept").cast("string")
+    text = F.when(F.col("n_removed") > 0, F.regexp_replace(F.make_valid_utf8(kept), "\ufffd", "")).otherwise(kept)
     columns = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("row.n_chars") if "n_chars" in names else None)}
     return done.select(*[columns[c].alias(c) if c in columns else F.col(f"row.{c}") for c in names])
 
