@@ -77,6 +77,16 @@ def scaled(frame: DataFrame, digits: int | None = None) -> DataFrame:
     return frame.select(*[one(c) if c in scale else F.col(c) for c in frame.columns])
 
 
+def known_categories(train: DataFrame, column: str, most: int = 1000) -> list[str]:
+    """The names that occur in the training rows, in order; nulls are none.
+
+    Each becomes a column, so more than ``most`` of them is an error."""
+    names = [r[0] for r in train.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"{column} has more than {most} categories")
+    return sorted(names)
+
+
 def one_hot(df: DataFrame, column: str, categories: list[str], keep: list[str]) -> DataFrame:
     """One 0/1 column per known category; an unknown one leaves all at 0."""
     return df.select(

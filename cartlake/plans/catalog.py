@@ -22,7 +22,9 @@ from cartlake.plans import learned, live
 from cartlake.plans.dashboard import dashboard_payload
 from cartlake.plans.layers import Layers
 from cartlake.schemas import GOLD_COLUMNS, TRAINING_COLUMNS
+from cartlake.session import new_path, stage
 from cartlake.sources.files import sample_files
+from cartlake.sources.sinks import write_layer
 
 # Users named by the user filters of the queries; they occur at every scale.
 ONE_USER = 7
@@ -109,7 +111,10 @@ def sampled_load(x: Layers) -> DataFrame:
 
 @query
 def partitioned_silver(x: Layers) -> DataFrame:
-    return silver.with_month(x.silver).groupBy("year", "month").agg(
+    """Written in the lake layout year=/month= and read back by partition."""
+    path = new_path(x.spark, "silver-months")
+    write_layer(silver.with_month(x.silver), path, ["year", "month"])
+    return x.spark.read.parquet(path).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("events"), kpis.money_sum("price").alias("amount")
     )
 
@@ -478,8 +483,10 @@ def serving_prescriptions(x: Layers) -> DataFrame:
 
 
 def latest(x: Layers) -> DataFrame:
-    features = x.base.withColumnRenamed("user_session", "session_id")
-    return serving.latest_prescriptions(serving.serving_prescriptions(x.logistic), features)
+    """The scored carts hold the counts as well; staged, so the events are read once."""
+    scored = stage(x.logistic, "scored")
+    features = scored.withColumnRenamed("user_session", "session_id")
+    return serving.latest_prescriptions(serving.serving_prescriptions(scored), features)
 
 
 @query
@@ -536,8 +543,10 @@ def scaled_features(x: Layers) -> DataFrame:
 
 @query
 def one_hot_category(x: Layers) -> DataFrame:
-    known = ["economy", "large", "medium", "other", "promo", "small"]
-    return learning.one_hot(x.base, "main_category", known, keep=["user_session"])
+    """The names are those of the training rows; base is read twice, so it is staged."""
+    carts = stage(x.base.select("user_session", "is_abandoned", "main_category"), "base")
+    known = learning.known_categories(learning.with_split(carts).filter("split = 'train'"), "main_category")
+    return learning.one_hot(carts, "main_category", known, keep=["user_session"])
 
 
 @query

@@ -608,7 +608,7 @@ select user_session, {", ".join(
 from frame, fitted"""
 SQL["one_hot_category"] = f"{FROM_BASE} select user_session, " + ", ".join(
     f"case when main_category = '{c}' then 1 else 0 end as main_category_{c}"
-    for c in ("economy", "large", "medium", "other", "promo", "small")
+    for c in ("economy", "large", "medium", "other", "promo", "small", "standard")
 ) + " from base"
 HASHED = f"""{FROM_BASE},
 hashed as (select *, ('0x' || substr(md5(user_session), 1, 8))::ubigint as number from base)"""

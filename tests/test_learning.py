@@ -118,3 +118,15 @@ def test_training_table_forests(carts):
     without = table.drop("user_prior_views", "user_prior_carts")
     assert len(learning.training_features(without)) == 7
     learning.fit_risk_forest(without, trees=2, depth=2)
+
+
+def test_one_hot_columns_are_those_of_the_training_rows(spark):
+    rows = [("a", "promo", "train"), ("b", "large", "train"), ("c", None, "train"), ("d", "new", "test")]
+    carts = spark.createDataFrame(rows, "user_session string, main_category string, split string")
+    known = learning.known_categories(carts.filter("split = 'train'"), "main_category")
+    assert known == ["large", "promo"]
+    got = {r[0]: tuple(r)[1:] for r in learning.one_hot(carts, "main_category", known, ["user_session"]).collect()}
+    assert got == {"a": (0, 1), "b": (1, 0), "c": (0, 0), "d": (0, 0)}
+    assert learning.known_categories(carts.limit(0), "main_category") == []
+    with pytest.raises(ValueError):
+        learning.known_categories(carts, "main_category", most=2)

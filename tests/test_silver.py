@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from cartlake.operators import silver
+from cartlake.sources.sinks import write_layer
 from tests.conftest import event
 
 GOOD = "2024-01-02 03:04:05"
@@ -68,3 +69,15 @@ def test_fact_price_is_decimal(bronze):
     facts = silver.fact_events(silver.silver_events(bronze([event(GOOD, "view")])))
     assert facts.schema["price"].dataType.simpleString() == "decimal(10,2)"
     assert facts.select(F.sum("price")).first()[0] == 10
+
+
+def test_month_partitions_are_written_and_pruned(spark, bronze, tmp_path):
+    rows = [event("2019-10-31 23:59:59", "view"), event("2019-11-01 00:00:00", "view"), event("2019-11-02 00:00:00", "cart")]
+    path = str(tmp_path / "silver")
+    write_layer(silver.with_month(silver.silver_events(bronze(rows))), path, ["year", "month"])
+    back = spark.read.parquet(path)
+    assert {(r.year, r.month, r["count"]) for r in back.groupBy("year", "month").count().collect()} == {(2019, 10, 1), (2019, 11, 2)}
+    november = back.filter("year = 2019 and month = 11")
+    scan = november._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in scan
+    assert november.count() == 2
