@@ -201,7 +201,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
 # Names shown in a comparison.
 LOGISTIC = "Regressão Logística (Baseline)"
 FOREST = "Random Forest Classifier"
-BOOSTING = "HistGradientBoosting"
+BOOSTING = "Gradient-Boosted Trees"
 
 
 @dataclass

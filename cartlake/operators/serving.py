@@ -7,6 +7,7 @@ from cartlake.functions import profiles, text
 from cartlake.functions.events import (
     OTHER_CATEGORY,
     UNKNOWN_CATEGORY,
+    event_order,
     leading_category,
 )
 from cartlake.functions.offers import NO_COUPON
@@ -137,12 +138,17 @@ def dim_users(silver: DataFrame, carts: DataFrame) -> DataFrame:
 
 
 def dim_products(silver: DataFrame) -> DataFrame:
-    """The latest attributes of each product."""
-    newest = F.max_by(
-        F.struct("category_id", "category_code", "brand", "price"),
-        F.struct("event_time_ts", "event_id"),
+    """The latest attributes of each product; of equal times and ids, the greatest.
+
+    Events are first merged by hash per distinct set of attributes, with one number as
+    buffer, so only those few rows are sorted by product."""
+    attributes = ["category_id", "category_code", "brand", "price"]
+    number = F.coalesce("event_id", F.lit(-(2**63)))
+    last = silver.groupBy("product_id", *attributes).agg(
+        F.max(event_order(F.unix_seconds("event_time_ts"), number)).alias("last")
     )
-    products = silver.groupBy("product_id").agg(newest.alias("p")).select("product_id", "p.*")
+    newest = F.max_by(F.struct(*attributes), F.struct("last", *attributes))
+    products = last.groupBy("product_id").agg(newest.alias("p")).select("product_id", "p.*")
     known = F.when(F.col("category_code") != UNKNOWN_CATEGORY, leading_category(F.col("category_code")))
     return products.select(
         "product_id",

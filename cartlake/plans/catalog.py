@@ -537,8 +537,9 @@ def feature_frame(x: Layers) -> DataFrame:
 
 @query
 def scaled_features(x: Layers) -> DataFrame:
+    """Means first, then rows: the frame is read twice, so it is staged."""
     frame = learning.feature_frame(x.gold, keep=["user_session"]).drop("main_category")
-    return learning.scaled(frame, digits=4)
+    return learning.scaled(stage(frame, "features"), digits=4)
 
 
 @query

@@ -190,3 +190,18 @@ def test_jobs_from_the_command_line(spark, csv_folder, tmp_path, monkeypatch, ca
     assert spark.read.parquet(f"{lake}/serving/session_features").count() > 0
     jobs.main(["dashboard", "--lake", lake, "--out", str(tmp_path / "out")])
     assert json.loads(spark.read.text(str(tmp_path / "out")).first().value)["kpis"]["totalCarts"] > 0
+
+
+def test_dim_products_sorts_no_raw_events(spark, bronze):
+    rows = [
+        event("2024-01-02 00:00:00", "view", price=5.0, brand="old"),
+        event("2024-01-03 00:00:00", "view", price=7.0, brand="new"),
+        event("2024-01-03 00:00:00", "view", price=6.0, brand="newer id"),
+        event("2024-01-01 00:00:00", "view", price=9.0, brand="oldest"),
+    ]
+    products = serving.dim_products(silver_events(bronze(rows)))
+    (row,) = products.collect()
+    assert (row.brand, float(row.price)) == ("newer id", 6.0)
+    plan = products._jdf.queryExecution().executedPlan().toString()
+    merges = [line for line in plan.splitlines() if "Aggregate(key" in line and "category_code#" in line.split("functions")[0]]
+    assert merges and not any("SortAggregate" in line for line in merges)
