@@ -1,50 +1,61 @@
 """The way of each buyer to the first purchase."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlake.functions.events import CART, PURCHASE, VIEW, event_order, hours_between
 from cartlake.operators.running import exact_quantiles
-from cartlake.operators.skew import salted_join
+from cartlake.operators.skew import ROWS_PER_TASK, spread_join
 from cartlake.session import stage
 
 
-def first_purchases(silver: DataFrame) -> DataFrame:
-    seconds = F.unix_seconds("event_time_ts")
-    order = event_order(seconds, F.col("event_id"))
-    return (
-        silver.where(F.col("event_type") == PURCHASE)
-        .groupBy("user_id")
-        .agg(
-            F.min(seconds).alias("purchase_sec"),
-            F.min_by("user_session", order).alias("purchase_session"),
-        )
+def session_steps(silver: DataFrame) -> DataFrame:
+    """Events summed per buyer, session and second, by hash."""
+    sec = F.unix_seconds("event_time_ts")
+    kind = F.col("event_type")
+    return silver.groupBy("user_id", "user_session", sec.alias("sec")).agg(
+        F.count_if(kind == VIEW).alias("views"),
+        F.count_if(kind == CART).alias("carts"),
+        F.min(F.when(kind == PURCHASE, event_order(sec, F.col("event_id")))).alias("purchase_order"),
+    )
+
+
+def first_purchases(steps: DataFrame) -> DataFrame:
+    """Per session first, so that texts are compared on one row per buyer and session."""
+    per_session = (
+        steps.where("purchase_order is not null")
+        .groupBy("user_id", "user_session")
+        .agg(F.min("sec").alias("sec"), F.min("purchase_order").alias("purchase_order"))
+    )
+    return per_session.groupBy("user_id").agg(
+        F.min("sec").alias("purchase_sec"),
+        F.min_by("user_session", "purchase_order").alias("purchase_session"),
     )
 
 
-def buyer_journey(silver: DataFrame, salts: int = 16) -> DataFrame:
+def buyer_journey(silver: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """One row per buyer with a purchase. Only the first purchase counts, and
     only events strictly before it.
 
     The purchases take part as events, so that every buyer has a row to join and
-    no second join has to bring back those without views or carts.
+    no second join has to bring back those without views or carts. Three branches
+    read the summed steps, so they are staged.
     """
-    purchases = first_purchases(silver)
-    steps = silver.select(
-        "user_id", "user_session", "event_type", "event_id", F.unix_seconds("event_time_ts").alias("sec")
-    )
-    placed = salted_join(steps, purchases, "user_id", F.col("event_id"), salts)
+    steps = stage(session_steps(silver), "journey-steps")
+    placed = spread_join(steps, first_purchases(steps), "user_id", F.struct("user_session", "sec"), rows_per_task)
     before = F.col("sec") < F.col("purchase_sec")
     other = F.col("user_session") != F.col("purchase_session")
-    view = F.col("event_type") == VIEW
-    cart = F.col("event_type") == CART
     buyer = ["user_id", "purchase_sec", "purchase_session"]
+
+    def total(condition: Column, column: str) -> Column:
+        return F.sum(F.when(condition, F.col(column)).otherwise(0))
+
     # Per session first: distinct sessions become plain sums, and a buyer with
     # many events is counted in many tasks.
     per_session = placed.groupBy(*buyer, "user_session").agg(
-        F.count_if(before & other & view).alias("views"),
-        F.count_if(before & other & cart).alias("carts"),
-        F.count_if(before & ~other & view).alias("final_views"),
+        total(before & other, "views").alias("views"),
+        total(before & other, "carts").alias("carts"),
+        total(before & ~other, "views").alias("final_views"),
         F.min("sec").alias("first_sec"),
     )
     per_buyer = per_session.groupBy(*buyer).agg(

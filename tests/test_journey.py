@@ -42,7 +42,7 @@ def test_hot_buyer_against_brute_force(bronze):
             r.views_in_final_session,
             r.total_prior_sessions,
         )
-        for r in journey.buyer_journey(silver_events(bronze(events)), salts=3).collect()
+        for r in journey.buyer_journey(silver_events(bronze(events)), rows_per_task=60).collect()
     }
     assert got == brute_force(events)
 
