@@ -5,12 +5,13 @@ fires unless the session bought something between t0 and the deadline, both
 included. A purchase before t0 does not count.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlake.functions import offers, profiles, risk
 from cartlake.functions.events import CART, PURCHASE, VIEW, event_order, from_cents, night_flag, to_cents
 from cartlake.operators.scoring import with_prescription
+from cartlake.operators.skew import salted_join
 
 # Delays and texts of the two triggers.
 FIVE_MINUTES = 300
@@ -45,10 +46,11 @@ def session_seconds(silver: DataFrame) -> DataFrame:
 
 def clocks(silver: DataFrame) -> DataFrame:
     """Per cart session: t0, the first purchase since, and the cart as it stood
-    one hour after t0 - later events would leak into the decision."""
-    seconds = session_seconds(silver)
-    t0 = F.min(F.when(F.col("items") > 0, F.col("sec"))).over(Window.partitionBy("user_session"))
-    started = seconds.withColumn("t0", t0).where("t0 is not null")
+    one hour after t0 - later events would leak into the decision. The salted join
+    keeps a session with very many seconds out of a single task."""
+    sec = F.unix_seconds("event_time_ts")
+    starts = silver.where(F.col("event_type") == CART).groupBy("user_session").agg(F.min(sec).alias("t0"))
+    started = salted_join(session_seconds(silver), starts, "user_session", F.col("sec"))
     in_time = F.col("sec") <= F.col("t0") + ONE_HOUR
     return started.groupBy("user_session").agg(
         F.min_by("owner", "first_order").alias("user_id"),

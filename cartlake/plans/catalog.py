@@ -509,17 +509,17 @@ def recent_carts(x: Layers) -> DataFrame:
 
 @query
 def trigger_5min(x: Layers) -> DataFrame:
-    return triggers.trigger_5min(x.silver)
+    return triggers.trigger_5min(stage(x.silver, "silver"))
 
 
 @query
 def trigger_1hour(x: Layers) -> DataFrame:
-    return triggers.trigger_1hour(x.silver)
+    return triggers.trigger_1hour(stage(x.silver, "silver"))
 
 
 @query
 def trigger_chain(x: Layers) -> DataFrame:
-    return triggers.trigger_chain(x.silver)
+    return triggers.trigger_chain(stage(x.silver, "silver"))
 
 
 # --- learning ---------------------------------------------------------------
