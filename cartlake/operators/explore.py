@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlake.functions.text import contains_any, folded
+from cartlake.operators.running import TOP_ROWS, ranked_between
 
 EVERYTHING = "ALL"
 
@@ -24,14 +25,18 @@ def search(layer: DataFrame, term: str) -> DataFrame:
 
 
 def page(
-    layer: DataFrame, sort_column: str, tie_breaker: str, number: int, size: int = 10, descending: bool = False
+    layer: DataFrame, sort_column: str, tie_breaker: str, number: int, size: int = 10, descending: bool = False,
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """One page of a sorted listing; a page past the end shows the last page."""
+    """One page of a sorted listing; a page past the end shows the last page. Pages that end
+    beyond ``top_rows`` are found by ranges of the order."""
     pages = max(1, math.ceil(layer.count() / size))
     number = min(max(number, 1), pages)
     key = folded(sort_column, layer.schema[sort_column].dataType.simpleString())
     order = key.desc_nulls_last() if descending else key.asc_nulls_first()
-    return layer.orderBy(order, tie_breaker).offset((number - 1) * size).limit(size)
+    total = [order, F.col(tie_breaker).asc_nulls_first()]
+    start = (number - 1) * size
+    return ranked_between(layer, total, start, start + size, top_rows).orderBy(*total).limit(size)
 
 
 def filter_matrix(

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlake.session import stage
+
 
 def running_totals(
     rows: DataFrame,
@@ -107,3 +109,27 @@ def exact_quantiles(
             for i in range(len(shares))
         ],
     )
+
+
+# Up to so many rows a top-k is kept in each task's memory; beyond it rows are ranked by ranges.
+TOP_ROWS = 10_000
+
+
+def ranked_between(df: DataFrame, order: list[Column], start: int, stop: int, top_rows: int = TOP_ROWS) -> DataFrame:
+    """The rows ``start`` to ``stop - 1`` of a total order, in any order.
+
+    A top-k keeps ``stop`` rows in each task and then in one. Where these are more than
+    ``top_rows``, the rows are dealt by ranges of the order and written, the ranges are
+    counted (one row each), and only those that hold wanted rows are sorted.
+    """
+    if stop <= top_rows:
+        return df.orderBy(*order).offset(start).limit(stop - start)
+    dealt = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy().orderBy("_range")) - F.col("_n")
+    wanted = sizes.withColumn("_before", before).where(
+        (F.col("_before") < stop) & (F.col("_before") + F.col("_n") > start)
+    )
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    held = dealt.join(F.broadcast(wanted.select("_range", "_before")), "_range").withColumn("_rank", rank)
+    return held.where((F.col("_rank") >= start) & (F.col("_rank") < stop)).select(*df.columns)

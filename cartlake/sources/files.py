@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cartlake.operators.running import TOP_ROWS, ranked_between
 from cartlake.schemas import BRONZE, TRAINING
 
 
@@ -43,14 +44,17 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def sample_files(parts: list[DataFrame], order: list[str], sample_n: int | None) -> DataFrame:
+def sample_files(
+    parts: list[DataFrame], order: list[str], sample_n: int | None, top_rows: int = TOP_ROWS
+) -> DataFrame:
     """``sample_n // len(parts)`` rows from each part, first in ``order``; all
     rows when no size is given. The total order makes the sample repeatable."""
     if sample_n is not None:
         per_part = sample_n // len(parts)
         if per_part < 1:
             raise ValueError(f"a sample of {sample_n} rows is less than one for each of {len(parts)} parts")
-        parts = [part.orderBy(*order).limit(per_part) for part in parts]
+        total = [F.col(c).asc_nulls_first() for c in order]
+        parts = [ranked_between(part, total, 0, per_part, top_rows) for part in parts]
     return union_all(parts)
 
 
@@ -100,5 +104,6 @@ def read_user_events(
 
 
 def read_training_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    reader = spark.read.schema(TRAINING)
+    """Columns are taken by position from CSV, so a header in another order is an error."""
+    reader = spark.read.schema(TRAINING).option("enforceSchema", False)
     return reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)

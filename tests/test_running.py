@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cartlake.operators import running, skew
 from cartlake.operators.running import exact_quantiles, running_totals
 from cartlake.operators.skew import salted_join
 from cartlake.sources.sessions import sessionize
@@ -75,3 +77,22 @@ def test_sessionize_equals_gap_rule(spark):
         last[user] = us
         want.append((user, us, number[user]))
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("start,stop", [(0, 7), (40, 65), (190, 260)])
+def test_ranks_by_ranges(spark, start, stop):
+    rows = [(i, None if i % 5 == 0 else f"k{i % 3}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, k string").repartition(5)
+    order = [F.desc_nulls_last("k"), F.asc("id")]
+    wanted = [r.id for r in df.orderBy(*order).collect()][start:stop]
+    found = running.ranked_between(df, order, start, stop, top_rows=0)
+    assert sorted(r.id for r in found.collect()) == sorted(wanted)
+    assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
+    assert running.ranked_between(df.limit(0), order, start, stop, top_rows=0).count() == 0
+
+
+def test_spread_join_splits_only_hot_keys(spark):
+    large = spark.createDataFrame([(i, 0 if i % 3 else i) for i in range(90)], "id int, k int")
+    small = spark.createDataFrame([(k, f"v{k}") for k in range(0, 90, 2)], "k int, x string")
+    got = skew.spread_join(large, small, "k", F.col("id"), rows_per_task=7).select("id", "k", "x")
+    assert sorted(got.collect()) == sorted(large.join(small, "k").select("id", "k", "x").collect())
