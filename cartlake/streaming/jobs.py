@@ -2,7 +2,6 @@
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -104,16 +103,15 @@ def recent_writer(path: str, n: int = 60) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def fan_out(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Give one micro-batch to several writers. It is computed once for all."""
+def fan_out(path: str, *writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Give one micro-batch to several writers. It is written once and each reads the files:
+    a lost executor must not run its stateful operators again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            for writer in writers:
-                writer(held, batch_id)
-        finally:
-            held.unpersist()
+        sinks.append_batch(batch, path, batch_id)
+        held = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id}")
+        for writer in writers:
+            writer(held, batch_id)
 
     return write
 

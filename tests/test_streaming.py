@@ -180,7 +180,7 @@ def test_one_batch_feeds_all_sinks(spark, bronze, tmp_path):
     scored.repartition(3).write.parquet(path)
     source = spark.readStream.schema(scored.schema).option("maxFilesPerTrigger", 1).parquet(path)
     serve, recent = str(tmp_path / "serving"), str(tmp_path / "recent")
-    writers = jobs.fan_out(jobs.serving_writer(serve), jobs.recent_writer(recent, 10))
+    writers = jobs.fan_out(str(tmp_path / "carts"), jobs.serving_writer(serve), jobs.recent_writer(recent, 10))
     jobs.drain(jobs.start(source, writers, str(tmp_path / "state")))
 
     carts = {r.user_session: r.last_cart_sec for r in scored.collect()}
