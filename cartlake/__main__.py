@@ -5,9 +5,10 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from cartlake.operators import learning
 from cartlake.operators.silver import silver_events
 from cartlake.plans import campaign, medallion
-from cartlake.session import use_utc
+from cartlake.session import remove_staged, stage, use_utc
 from cartlake.sources import files, topics
 from cartlake.streaming import clock, jobs
 
@@ -30,6 +31,13 @@ def run_dashboard(spark, args, lake):
     medallion.publish_dashboard(spark, lake, args.out)
 
 
+def run_train(spark, args, lake):
+    """The two forests of the one-hour decision, fitted on the training table."""
+    training = stage(files.read_training_table(spark, args.table, args.format), "training")
+    learning.save_model(learning.fit_risk_forest(training), f"{lake.root}/models/risk")
+    learning.save_model(learning.fit_profile_forest(training), f"{lake.root}/models/profile")
+
+
 def run_stream(spark, args, lake):
     """Land raw events in bronze and silver, and raise the reminders from the
     landed silver, so that a decision finds all events its trigger has seen."""
@@ -75,6 +83,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--model", help="a saved model; the heuristic without it")
     sub = job("dashboard", run_dashboard)
     sub.add_argument("--out", required=True)
+    sub = job("train", run_train)
+    sub.add_argument("--table", required=True, help="path of the training table")
+    sub.add_argument("--format", choices=["csv", "parquet"], default="csv")
     sub = job("stream", run_stream)
     source = sub.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="Kafka bootstrap servers")
@@ -88,7 +99,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = use_utc(SparkSession.builder.appName(f"cartlake {args.job}").getOrCreate())
-    args.run(spark, args, medallion.Lake(args.lake.rstrip("/")))
+    try:
+        args.run(spark, args, medallion.Lake(args.lake.rstrip("/")))
+    finally:
+        remove_staged(spark)
 
 
 if __name__ == "__main__":

@@ -265,7 +265,7 @@ def importances(model: PipelineModel, numeric: list[str], categorical: list[str]
 def with_ratio(training: DataFrame) -> DataFrame:
     ratio = F.round(F.col("num_views_before_cart") / F.greatest(F.col("num_cart_items"), F.lit(1)), 2)
     columns = [c for c in TRAINING_FEATURES if c in training.columns]
-    return training.withColumn("view_to_cart_ratio", ratio).fillna(0, columns)
+    return training.fillna(0, columns).withColumn("view_to_cart_ratio", ratio)
 
 
 def training_features(training: DataFrame) -> list[str]:

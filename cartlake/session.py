@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Folders of local sessions without a shared one, by application.
 LOCAL_FOLDERS: dict[str, str] = {}
+# Staged paths, by application.
+STAGED: dict[str, list[str]] = {}
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -52,7 +54,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """At a job's end: remove what this application staged. Tables read from it are gone."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in STAGED.pop(spark.sparkContext.applicationId, []):
+        staged = hadoop.Path(path)
+        staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(staged, True)
 
 
 def write_stage(df: DataFrame, label: str) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartlake.operators import gold, learning, metrics
 from cartlake.operators.silver import silver_events
-from cartlake.schemas import NUMERIC_FEATURES, TARGET
+from cartlake.schemas import NUMERIC_FEATURES, TARGET, TRAINING
 from cartlake.session import stage
 from tests.test_gold import hot_log
 
@@ -130,3 +130,16 @@ def test_one_hot_columns_are_those_of_the_training_rows(spark):
     assert learning.known_categories(carts.limit(0), "main_category") == []
     with pytest.raises(ValueError):
         learning.known_categories(carts, "main_category", most=2)
+
+
+def test_train_job_saves_both_forests(spark, carts, tmp_path, monkeypatch):
+    from cartlake import __main__ as job
+
+    monkeypatch.setattr(learning, "random_forest", lambda *_, **__: learning.RandomForestClassifier(labelCol=TARGET, numTrees=2, maxDepth=2))
+    table, lake = str(tmp_path / "table"), str(tmp_path / "lake")
+    rows = learning.training_table(carts).select(*TRAINING.names)
+    rows.unionByName(rows.limit(1).withColumn("num_views_before_cart", F.lit(None).cast("int"))).write.option("header", True).csv(table)
+    monkeypatch.setattr(learning, "fit_profile_forest", lambda t: learning.fit_risk_forest(t))
+    job.main(["train", "--lake", lake, "--table", table])
+    for name in ("risk", "profile"):
+        learning.load_model(f"{lake}/models/{name}")

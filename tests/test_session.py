@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from cartlake import session
@@ -32,3 +34,12 @@ def test_staged_table_is_the_table(spark):
     assert sorted(staged.collect()) == sorted(df.collect())
     assert session.shared_folder(spark) == session.shared_folder(spark)
     assert staged.inputFiles()[0].startswith("file:" + "//" + session.shared_folder(spark))
+
+
+def test_staged_tables_go_at_the_end_of_a_job(spark):
+    session.remove_staged(spark)
+    path = session.write_stage(spark.range(3), "t")
+    assert path in session.STAGED[spark.sparkContext.applicationId]
+    session.remove_staged(spark)
+    assert not os.path.exists(path) and not session.STAGED
+    session.remove_staged(spark)
