@@ -7,18 +7,22 @@ moving the text again, and a lost executor rereads it with the same content.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake.session import new_path
 
 BLOCK_BYTES = 8 << 20
+#: Of texts that a task hands to Python at a time: the largest block.
+BATCH_BYTES = 16 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def squeeze(*arrays: np.ndarray | bytes) -> bytes:
@@ -95,12 +99,25 @@ def write_bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFra
     a task writes a file for each bucket that it has a row of.
     """
     spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
-    (
-        df.write.format("parquet")
-        .bucketBy(buckets, key)
-        .option("path", new_path(spark, label))
-        .option("compression", "uncompressed")
-        .saveAsTable(name)
-    )
+    with arrow_bytes(spark, BATCH_BYTES):
+        (
+            df.write.format("parquet")
+            .bucketBy(buckets, key)
+            .option("path", new_path(spark, label))
+            .option("compression", "uncompressed")
+            .saveAsTable(name)
+        )
     return spark.table(name)
 
+
+@contextlib.contextmanager
+def arrow_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """While it lasts, batches to Python hold about ``limit`` bytes (a longer row: that row), not
+    as many texts as make up a count of rows: both sides of the pipe keep a whole batch."""
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
+

@@ -108,16 +108,19 @@ def split_blocks(pattern: str):
         for whole in batches:
             for batch in B.pieces(whole, BLOCK_BYTES):
                 data, lengths = B.flat(batch.column("text"))
-                raw, number, places, counts, at = data.tobytes(), {}, [], [], 0
+                number, places, counts, at = {}, [], [], 0
                 for n in lengths.tolist():
-                    found = find(raw[at : at + n].decode())
+                    found = find(data[at : at + n].tobytes().decode())
                     at += n
                     places.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.uint32, len(found)))
                     counts.append(len(found))
-                words = [w.encode() for w in number]
+                found = None
                 body = B.squeeze(
                     np.array(counts, np.int64), np.concatenate([np.zeros(0, np.uint32), *places]), B.pack_rows(batch.column("row"))
                 )
+                places = None
+                words = [w.encode() for w in number]
+                number = None
                 sizes = np.array([len(w) for w in words], np.uint32)
                 yield pa.record_batch(
                     [[B.new_block()], [len(data)], [B.squeeze(sizes, b"".join(words))], [body]],
