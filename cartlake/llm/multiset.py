@@ -2,16 +2,16 @@
 
 A paragraph is the shortest piece that ends at a line break, or at a full stop, comma,
 exclamation or question mark before a blank. Each is hashed to a wide vector of ``DIMENSIONS`` bits, and a
-document's fingerprint is the number of its paragraphs and the sum of their vectors, each
-component modulo 2^16. Adding or taking away a paragraph is an addition or subtraction of
+document's fingerprint is the number of its paragraphs and the sum of their vectors; it is
+written with each component modulo 2^16. Adding or taking away a paragraph is an addition or subtraction of
 its vector (``combined``), so equal multisets have equal fingerprints, in any order.
 
 Sums of -1 and 1 (two bits minus the count) also measure likeness: the product of two
 fingerprints is, on average, ``DIMENSIONS`` times the number of common paragraphs, so twice
 the product over the two squared lengths estimates the common share of paragraphs.
 
-While summing, three components share a 64-bit number, 19 bits each, so a paragraph costs
-one addition for three components. All of it is SQL functions.
+While summing, two components share a 64-bit number, 32 bits each, which is more than the
+paragraphs that an array can hold, so no sum wraps. All of it is SQL functions.
 """
 
 from __future__ import annotations
@@ -21,18 +21,14 @@ from pyspark.sql import functions as F
 
 SEEDS = (11, 12)
 DIMENSIONS = 64 * len(SEEDS)
-LANES = 22
-LANE_MASK = 1 | 1 << 22 | 1 << 44
-COMPONENT, MODULUS = (1 << 19) - 1, 1 << 16
-#: What is kept of a lane after each addition, so that no component runs into the next.
-FIELDS = COMPONENT | COMPONENT << 22 | COMPONENT << 44
+LANES = 32
+LANE_MASK = 1 | 1 << 32
+COMPONENT, MODULUS = (1 << 32) - 1, 1 << 16
 BREAK = r"\n+|(?<=[.,!?])[ \t\r]+"
 
 
 def vector(text: Column) -> Column:
-    """The sums of a text's paragraph vectors, three components to a number, and their count.
-
-    The number for lane j holds the sums of bits j, j + 22 and j + 44 of the hashes."""
+    """The hashes of a text's paragraphs for each seed, and their count."""
     def hashed(seed: int) -> Column:
         return F.transform(parts, lambda p: F.xxhash64(F.lit(seed), p))
 
@@ -42,24 +38,22 @@ def vector(text: Column) -> Column:
 
 
 def summed(hashes: Column) -> Column:
+    """The sums of the hashes' bits, two to a number: lane j holds those of bits j and j + 32."""
     def lane(j: int) -> Column:
         return F.aggregate(
-            hashes, F.lit(0).cast("long"),
-            lambda total, h: (total + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(LANE_MASK))).bitwiseAND(F.lit(FIELDS)),
+            hashes, F.lit(0).cast("long"), lambda total, h: total + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(LANE_MASK))
         )
 
     return F.array(*[lane(j) for j in range(LANES)])
 
 
 def components(lanes: Column) -> Column:
-    """64 components modulo 2^16 out of the lanes; bits 64 and 65 do not exist."""
+    """64 components, whole, out of the lanes."""
 
-    def third(shift: int) -> Column:
-        return F.transform(
-            lanes, lambda v: (F.shiftrightunsigned(v, shift).bitwiseAND(F.lit(COMPONENT)) % MODULUS).cast("int")
-        )
+    def half(shift: int) -> Column:
+        return F.transform(lanes, lambda v: F.shiftrightunsigned(v, shift).bitwiseAND(F.lit(COMPONENT)).cast("int"))
 
-    return F.slice(F.concat(*[third(shift) for shift in (0, 22, 44)]), 1, 64)
+    return F.concat(half(0), half(32))
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -76,13 +70,13 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """The fingerprint of two multisets together (sign 1), or of a without b (sign -1)."""
     return F.struct(
         (a["n"] + sign * b["n"]).alias("n"),
-        F.zip_with(a["v"], b["v"], lambda x, y: F.pmod(x + sign * y, F.lit(MODULUS))).alias("v"),
+        F.zip_with(a["v"], b["v"], lambda x, y: x + sign * y).alias("v"),
     )
 
 
 def as_text(print_: Column) -> Column:
-    """The number of paragraphs, then every component as four hex digits."""
-    digits = F.transform(print_["v"], lambda x: F.lpad(F.lower(F.hex(x)), 4, "0"))
+    """The number of paragraphs, then every component modulo 2^16 as four hex digits."""
+    digits = F.transform(print_["v"], lambda x: F.lpad(F.lower(F.hex(F.pmod(x, F.lit(MODULUS)))), 4, "0"))
     return F.concat(F.hex(print_["n"]), F.lit(":"), F.array_join(digits, ""))
 
 
@@ -90,7 +84,7 @@ def likeness(a: Column, b: Column) -> Column:
     """From 0 to 1: 1 for equal fingerprints, else the estimated share of common paragraphs."""
 
     def centred(x: Column, n: Column) -> Column:
-        return (2 * x - n).cast("double")
+        return 2 * x.cast("double") - n
 
     def product(p: Column, q: Column) -> Column:
         both = F.zip_with(p["v"], q["v"], lambda x, y: centred(x, p["n"]) * centred(y, q["n"]))

@@ -44,6 +44,19 @@ def test_likeness_follows_common_paragraphs(spark):
     assert near[0] == 1.0 and 0.3 < near[1] < 0.7 and near[2] < 0.25
 
 
+def test_likeness_of_more_paragraphs_than_a_written_component_holds(spark):
+    many, other = ("\n".join(f"{w} {i}" for i in range(200_000)) for w in ("line", "other"))
+    half = "\n".join(f"{'line' if i % 2 else 'new'} {i}" for i in range(200_000))
+    table = prints(spark, many, other, half, "again\n" * 70_000, "twice\n" * 70_000, "again\n" * 70_001).repartition(6).cache()
+
+    def near(i, j):
+        pair = table.filter(f"i = {i}").select(F.col("p").alias("x")).crossJoin(table.filter(f"i = {j}").select(F.col("p").alias("y")))
+        return pair.select(multiset.likeness(F.col("x"), F.col("y")).alias("v")).first()["v"]
+
+    assert near(0, 0) == 1.0 and near(0, 1) < 0.4 and 0.3 < near(0, 2) < 0.7
+    assert near(3, 4) < 0.4 and near(3, 5) > 0.99
+
+
 def test_odd_rows_and_no_rows(spark, odd, empty):
     got = multiset.edits(odd).collect()
     assert len(got) == 5
