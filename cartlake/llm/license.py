@@ -4,12 +4,17 @@ Every pair of consecutive words (k = 2) of a text is hashed and joined with the
 the templates, a table of fixed size that is broadcast. A match at word p of the text and
 word t of a template votes for the diagonal p - t. A base phrase stands where all its
 pairs vote for one diagonal. A notice may have words put in or left out, so its votes on
-diagonals up to ``GAP`` apart are merged; it is reported if ``SHARE`` of its pairs voted.
-The matched words themselves are compared, so no hash decides alone.
+diagonals up to ``GAP`` apart are merged to a band. A band with votes enough is verified: the most
+pairs that stand in the template's order, each counted once, within one span of the text
+(``span``). The notice is reported if that is ``SHARE`` of its pairs. A word that alone tells two notices
+apart (nc, sa) is in two pairs, and no template is so long that it may miss both of a word's pairs and
+differ from another by that word. The matched words themselves are compared, so no hash decides alone.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +37,11 @@ TEMPLATES = (
 )
 
 
+def span(pairs: int) -> int:
+    """Text positions that a notice may take: its pairs, and ``GAP`` words for each that it may miss."""
+    return pairs + GAP * (pairs - math.ceil(SHARE * pairs))
+
+
 def words(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     return F.filter(F.split(lowered, SEPARATORS), lambda w: w != "")
@@ -49,7 +59,7 @@ def template_grams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
 
 
 def votes(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """(rid, doc_id, n_words, template, diagonal, votes), and for every row one of template -1."""
+    """(rid, doc_id, n_words, template, diagonal, votes, places), and for every row one of template -1."""
     split = docs.select("doc_id", words(F.col("text")).alias("words")).withColumn("rid", F.monotonically_increasing_id())
     pairs = F.zip_with(
         "words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))),
@@ -67,7 +77,20 @@ def votes(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     grams = template_grams(docs.sparkSession, templates)
     met = rolled.join(F.broadcast(grams), "gram").filter(F.col("a").eqNullSafe(F.col("first")) & F.col("b").eqNullSafe(F.col("second")))
     diagonal = F.when(F.col("template") >= 0, F.col("place") - F.col("at")).otherwise(F.lit(0))
-    return met.groupBy("rid", "doc_id", "n_words", "template", diagonal.alias("diagonal")).agg(F.count("*").alias("votes"))
+    return met.groupBy("rid", "doc_id", "n_words", "template", diagonal.alias("diagonal")).agg(
+        F.count("*").alias("votes"), F.collect_list("place").alias("places")
+    )
+
+
+def in_order(met: Column, pairs: Column) -> Column:
+    """The length of the longest row of votes (place, back: the template's position, negated) in
+    which place and position both grow."""
+    # Votes of one place come by falling position, so a row takes one of them at most.
+    def step(best: Column, vote: Column) -> Column:
+        before = F.coalesce(F.array_max(F.slice(best, 1, -vote["back"])), F.lit(0))
+        return F.transform(best, lambda x, i: F.when(i == -vote["back"], F.greatest(x, before + 1)).otherwise(x))
+
+    return F.aggregate(F.array_sort(met), F.array_repeat(F.lit(0), pairs.cast("int")), step, F.array_max)
 
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -75,22 +98,35 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
     n_base counts all places of base phrases, first_word and last_word are their least and
     greatest start (words from 0; null without one). ``score`` is the greatest share of a
-    template's pairs that is met, 1 for a whole phrase. Null and empty texts have no words.
+    template's pairs that is met, 1 for a whole phrase (a band with too few votes for a notice
+    is not verified, so its share counts votes). Null and empty texts have no words.
     Repeated rows, and rows without doc_id, each give a row; an empty table gives an empty
     result; other columns are not read.
     """
     spark = docs.sparkSession
     sizes = spark.createDataFrame(
-        [(-1, "", False, 1)] + [(i, label, base, len(text.split()) - 1) for i, (label, base, text) in enumerate(templates)],
-        "template int, label string, base boolean, pairs long",
+        [(-1, "", False, 1, 1)]
+        + [(i, label, base, n := len(text.split()) - 1, span(n)) for i, (label, base, text) in enumerate(templates)],
+        "template int, label string, base boolean, pairs long, span int",
     )
+    widest = max([span(len(text.split()) - 1) for _, _, text in templates], default=1)
     cast = votes(docs, templates).join(F.broadcast(sizes), "template")
     line = Window.partitionBy("rid", "template").orderBy("diagonal")
-    merged = (
+    band = Window.partitionBy("rid", "template", "band")
+    banded = (
         cast.withColumn("new", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(line) > GAP).cast("int"), F.lit(0)))
         .withColumn("band", F.when(F.col("base"), F.col("diagonal")).otherwise(F.sum("new").over(line)))
+        .withColumn("verify", ~F.col("base") & (F.col("template") >= 0) & (F.sum("votes").over(band) >= SHARE * F.col("pairs")))
+    )
+    # Of what is verified every vote is a row, and meets those that follow within a span.
+    single = banded.withColumn("place", F.explode_outer(F.when(F.col("verify"), F.col("places"))))
+    follow = F.collect_list(F.when(F.col("verify"), F.struct("place", (F.col("diagonal") - F.col("place")).alias("back"))))
+    followed = single.withColumn("met", follow.over(band.orderBy("place").rangeBetween(0, widest - 1)))
+    near = F.filter("met", lambda v: v["place"] < F.col("place") + F.col("span"))
+    merged = (
+        followed.withColumn("row", F.when(F.col("verify"), in_order(near, F.col("pairs"))))
         .groupBy("rid", "doc_id", "n_words", "template", "label", "base", "pairs", "band")
-        .agg(F.sum("votes").alias("votes"))
+        .agg(F.coalesce(F.max("row").cast("long"), F.sum("votes")).alias("votes"))
         .withColumn("share", F.when(F.col("template") < 0, 0.0).otherwise(F.least(F.lit(1.0), F.col("votes") / F.col("pairs"))))
     )
     whole = F.col("base") & (F.col("votes") == F.col("pairs"))

@@ -33,6 +33,19 @@ def test_words_between_do_not_hide_a_notice(spark):
     assert (got[4]["n_base"], got[4]["first_word"]) == (1, 2)
 
 
+def test_repeated_pairs_are_no_notice(spark):
+    notice = "this work is licensed under the GNU General Public License, version 3"
+    rows = [
+        (1, "Licensed under CC BY, CC-BY 4.0"), (2, "cc by " * 5), (3, "Licensed under CC BY-SA 4.0"), (4, "4.0 SA by cc under licensed"),
+        (5, "cc by nc " * 3), (6, "x " * 50 + notice), (7, "cc by " * 3000 + "licensed under cc-by-nc 4.0"),
+        (8, "this work is licensed " + "this work is " * 9 + "under the general license version"),
+    ]
+    got = {r["doc_id"]: r for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    labels = {i: r["labels"] for i, r in got.items()}
+    assert labels == {1: "cc-by", 2: "cc-by", 3: "cc-by,cc-by-sa", 4: "", 5: "cc-by", 6: "gpl,gpl-notice", 7: "cc-by,cc-by-nc", 8: ""}
+    assert got[6]["score"] == 1.0 and got[4]["score"] < 0.5
+
+
 def test_odd_rows_and_no_rows(odd, empty):
     assert len(license.scan(odd).collect()) == 5
     assert license.scan(empty).collect() == []
