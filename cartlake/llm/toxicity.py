@@ -7,13 +7,14 @@ The lexicon is learned from labelled rows: beginnings of words and whole words,
 by the log odds of toxic over other documents. Exception phrases blank the words that they cover.
 The sum of weights, and the sum by length, go through a logistic curve.
 
-Bounds, all parameters: ``ROWS`` labelled rows (those of least hash) fit the lexicon and the
+Bounds, all parameters: ``ROWS`` labelled rows without copies (those of least hash) fit the lexicon and the
 curve, ``TERMS`` is the length of the lexicon. Scoring reads every text in full.
 """
 
 from __future__ import annotations
 
 import functools
+import logging
 import math
 import unicodedata
 from collections import Counter
@@ -30,8 +31,12 @@ from pyspark.sql import functions as F
 from cartlake.llm import blocks as B
 from cartlake.session import stage
 
+log = logging.getLogger(__name__)
+
 ROWS, TERMS, LEAST, ODDS = 20_000, 3_000, 8, 2.0
 THRESHOLD = 0.3
+#: Copies among labelled rows: least hashes kept of a text, classes of them, likeness of a copy.
+SKETCH, CLASSES, COPY = 64, 8, 0.8
 PREFIXES = range(3, 9)
 #: Harmless phrases; each blanks the lexicon words inside it.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum", "stupid question", "idiot proof")
@@ -73,15 +78,17 @@ def readings(text: str) -> list[str]:
 
 @dataclass
 class Lexicon:
-    """terms: " word " or " beginning" to weight; curve: three coefficients of the logistic."""
+    """terms: " word " or " beginning" to weight; curve: three coefficients of the logistic;
+    rows: the number of labelled rows that it was fitted to."""
 
     terms: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
     curve: tuple[float, float, float] = (-3.0, 1.0, 0.0)
     automaton: object = field(default=None, repr=False, compare=False)
+    rows: int = 0
 
     def __getstate__(self):
-        return {"terms": self.terms, "exceptions": self.exceptions, "curve": self.curve, "automaton": None}
+        return {"terms": self.terms, "exceptions": self.exceptions, "curve": self.curve, "automaton": None, "rows": self.rows}
 
     def found(self, folded: str) -> float:
         """The sum of weights: of each word its longest term, unless an exception covers it."""
@@ -123,22 +130,61 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
+def sketch(text: F.Column) -> F.Column:
+    """The ``SKETCH`` least hashes of a text's distinct runs of three words (shorter: of the text)."""
+    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+    # A lambda that named the words would split the text again for every word.
+    second, third = (F.slice(words, k, F.greatest(F.size(words), F.lit(1))) for k in (2, 3))
+    two = F.zip_with(words, second, lambda u, v: F.struct(u.alias("u"), v.alias("v")))
+    three = F.zip_with(two, third, lambda x, w: F.struct(x["u"].alias("u"), x["v"].alias("v"), w.alias("w")))
+    runs = F.transform(three, lambda x, i: F.when((i == 0) | x["w"].isNotNull(), F.xxhash64(x["u"], x["v"], x["w"])))
+    return F.slice(F.array_sort(F.array_distinct(F.filter(runs, lambda h: h.isNotNull()))), 1, SKETCH)
+
+
+def alike(a: F.Column, b: F.Column) -> F.Column:
+    """The share of common runs, estimated from the least hashes of both sketches together."""
+    least = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    return F.size(F.array_intersect(F.array_intersect(a, b), least)) / F.size(least)
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """(doc_id, digest, toxic) of ``rows`` (with print, a sketch, too), less the copies.
+
+    Of equal texts with one label the row of least hash stays. A row also goes if it is alike
+    (``COPY``) to the first row of one of its buckets; a bucket has equal least hashes in two of
+    ``CLASSES`` classes of hashes. The bucket alone drops nothing.
+    """
+    first = F.struct(F.xxhash64("doc_id").alias("place"), F.col("doc_id").alias("id"), "digest", "print")
+    one = rows.groupBy("digest", "toxic").agg(F.min(first).alias("one"))
+    one = stage(one.select("toxic", "one"), "distinct-labelled")
+    least = [F.array_min(F.filter("one.print", lambda h, c=c: F.pmod(h, F.lit(CLASSES)) == c)) for c in range(CLASSES)]
+    pairs = [(a, b, c) for c, (a, b) in enumerate(zip(least, least[1:] + least[:1]))]
+    keys = F.array(*[F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(F.lit(c), a, b)) for a, b, c in pairs])
+    dealt = one.withColumn("key", F.explode(F.filter(keys, lambda k: k.isNotNull())))
+    heads = dealt.groupBy("key", "toxic").agg(F.min("one").alias("head"), F.count("*").alias("members")).filter("members > 1")
+    gone = (
+        dealt.join(heads, ["key", "toxic"]).filter("one.digest <> head.digest")
+        .filter(alike(F.col("one.print"), F.col("head.print")) >= COPY).select("one.digest", "toxic").distinct()
+    )
+    kept = one.select("one.digest", "toxic", F.col("one.id").alias("doc_id"))
+    return kept.join(gone, ["digest", "toxic"], "left_anti")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     """(text, toxic) of ``rows`` labelled rows at most that are not held out.
 
-    Copies would make every word of a toxic text look toxic, so of texts with the same least
-    hash of a long word only one is taken.
+    Copies would make every word of a toxic text look toxic, so of copies with one label only
+    one is taken; they go before the rows are counted.
     """
-    picked = (
+    known = (
         labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.length(w) >= 8)
-    key = F.coalesce(F.array_min(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64("text"))
-    one = texts.groupBy(key.alias("key"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("one"))
-    return one.select("one.text", "toxic")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    labelled = texts.join(known, "doc_id").select("doc_id", "toxic", F.sha2("text", 256).alias("digest"), sketch(F.col("text")).alias("print"))
+    picked = without_copies(labelled).orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(rows)
+    found = texts.join(F.broadcast(picked), "doc_id").filter(F.sha2("text", 256) == F.col("digest"))
+    return found.dropDuplicates(["digest", "toxic"]).select("text", "toxic")
 
 
 def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, terms: int = TER
     total = sample.agg(F.sum((F.col("toxic") == 1).cast("int")), F.sum((F.col("toxic") != 1).cast("int"))).first()
     toxic, other = (total[0] or 0), (total[1] or 0)
     if not toxic or not other:
-        return Lexicon({}, exceptions)
+        return Lexicon({}, exceptions, rows=toxic + other)
     odds = F.log((F.col("toxic") + 1) / F.lit(toxic + 2)) - F.log((F.col("other") + 1) / F.lit(other + 2))
     found = (
         sample.mapInPandas(term_counts, "term string, toxic long, other long")
@@ -190,7 +236,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, terms: int = TER
         .withColumn("weight", odds).filter((F.col("toxic") >= LEAST) & (F.col("weight") >= ODDS))
         .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term").limit(terms).collect()
     )
-    lexicon = Lexicon(telling([(r["term"], r["weight"], r["toxic"]) for r in found]), exceptions)
+    lexicon = Lexicon(telling([(r["term"], r["weight"], r["toxic"]) for r in found]), exceptions, rows=toxic + other)
+    log.info("lexicon fitted to %d labelled rows, %d of them toxic", lexicon.rows, toxic)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

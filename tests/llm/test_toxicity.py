@@ -50,6 +50,25 @@ def test_exceptions_and_longest_term():
     assert lexicon.score("trash") > lexicon.score("")
 
 
+def test_a_common_passage_is_no_copy(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"gemeinsames{i:03d}" for i in range(150))  # its least hash is nearly every text's
+    rows = []
+    for i in range(240):
+        words = sentence(rng, 120).split()
+        if i % 4 == 0:
+            words.insert(60, "grobian")
+        rows.append((i, f"{passage} {' '.join(words)}"))
+    near = rows[0][1].split()
+    rows += [(1000 + i, " ".join(near[:250] + [f"word{i}"] + near[251:])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0 or i >= 1000)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    free = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(240))
+    assert free <= lexicon.rows <= free + 3
+    assert lexicon.found(toxicity.fold("grobian")) > 0 and lexicon.found(toxicity.fold(passage)) == 0
+
+
 def test_odd_rows_and_no_rows(spark, odd, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.digest(odd, labels).collect()
