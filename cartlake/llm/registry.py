@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlake.llm import bpe, chat, hnsw, license, mixing, multiset, simhash, suffix, toxicity, urls
+from cartlake.llm import bpe, chat, hnsw, license, mixing, multiset, periodic, quality, repair, simhash, suffix, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": lambda s, d: license.scan(table(s, d, "documents")),
         "op9_url_filter": lambda s, d: urls.judge(table(s, d, "pages"), urls.fixed_rules(s)),
         "op10_nearest_neighbours": lambda s, d: hnsw.digest(table(s, d, "embeddings")),
+        "op11_conversation_repair": lambda s, d: repair.repaired(table(s, d, "conversations")),
+        "op12_quality_classifier": lambda s, d: quality.digest(table(s, d, "documents"), table(s, d, "labels")),
+        "op13_periodic_runs": lambda s, d: periodic.digest(table(s, d, "documents")),
     }
 
 
