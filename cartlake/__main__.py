@@ -10,7 +10,9 @@ from cartlake.operators.silver import silver_events
 from cartlake.plans import campaign, medallion
 from cartlake.session import remove_staged, stage, use_utc
 from cartlake.sources import files, topics
+from cartlake.sources.log import BUCKETS
 from cartlake.streaming import clock, jobs
+from cartlake.streaming.views import LiveGold
 
 
 def run_medallion(spark, args, lake):
@@ -34,13 +36,13 @@ def run_dashboard(spark, args, lake):
 def run_train(spark, args, lake):
     """The two forests of the one-hour decision, fitted on the training table."""
     training = stage(files.read_training_table(spark, args.table, args.format), "training")
-    learning.save_model(learning.fit_risk_forest(training), f"{lake.root}/models/risk")
-    learning.save_model(learning.fit_profile_forest(training), f"{lake.root}/models/profile")
+    learning.fit_forests(training).save(f"{lake.root}/models")
 
 
 def run_stream(spark, args, lake):
-    """Land raw events in bronze and silver, and raise the reminders from the
-    landed silver, so that a decision finds all events its trigger has seen."""
+    """Land raw events in bronze, gold and silver, load the serving tables and the list of recent
+    carts with the carts that changed, and raise the reminders from the landed silver, so that a
+    decision finds all events its trigger has seen. With ``--models`` the forests decide."""
     if args.servers:
         raw = topics.read_topic(spark, args.servers, args.topic)
     else:
@@ -48,13 +50,21 @@ def run_stream(spark, args, lake):
     every = None if args.once else args.every
     live = f"{lake.root}/silver/live_stream"
     files.ensure_folder(spark, live)
-    landing = jobs.start(
-        raw, jobs.lake_writer(f"{lake.root}/bronze/live_stream", live), f"{lake.root}/state/landing", every=every
+    views = LiveGold(spark, f"{lake.root}/gold/live", silver_events(raw).schema, args.buckets)
+    land = jobs.live_writer(
+        f"{lake.root}/bronze/live_stream",
+        live,
+        views,
+        jobs.scored(jobs.serving_writer(lake.serving)),
+        jobs.scored(jobs.recent_writer(f"{lake.root}/recent")),
+        ledger=f"{lake.root}/state/ledger",
     )
+    landing = jobs.start(raw, land, f"{lake.root}/state/landing", every=every)
     if args.once:
         jobs.drain(landing)
     silver = spark.readStream.schema(silver_events(raw).schema).parquet(live)
-    actions = jobs.action_writer(live, f"{lake.root}/fired", f"{lake.root}/actions")
+    forests = learning.Forests.load(f"{lake.root}/models") if args.models else None
+    actions = jobs.action_writer(live, f"{lake.root}/fired", f"{lake.root}/actions", views, forests)
     fired = jobs.start(clock.fired_triggers(silver), actions, f"{lake.root}/state/triggers", every=every)
     if args.once:
         jobs.drain(fired)
@@ -93,6 +103,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--topic", default=topics.EVENT_TOPIC)
     sub.add_argument("--every", default="2 seconds")
     sub.add_argument("--once", action="store_true", help="take what is there and stop")
+    sub.add_argument("--models", action="store_true", help="decide with the forests that the train job saved")
+    sub.add_argument("--buckets", type=int, default=BUCKETS, help="folders by key of the live tables")
     return top
 
 

@@ -68,8 +68,23 @@ def session_parts(silver: DataFrame) -> DataFrame:
     )
 
 
-def session_totals(silver: DataFrame) -> DataFrame:
-    parts = session_parts(silver)
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Partial sums of several batches of events as those of all of them."""
+    return parts.groupBy("user_session", "facet", "facet_value").agg(
+        *[F.sum(c).alias(c) for c in ("items", "cents")],
+        F.max("max_cents").alias("max_cents"),
+        F.min("min_cents").alias("min_cents"),
+        *[F.sum(c).alias(c) for c in ("views", "purchases")],
+        F.min("first_sec").alias("first_sec"),
+        F.min("first_cart_sec").alias("first_cart_sec"),
+        F.max("last_cart_sec").alias("last_cart_sec"),
+        F.min("first_order").alias("first_order"),
+        F.min_by("owner", "first_order").alias("owner"),
+    )
+
+
+def session_totals(parts: DataFrame) -> DataFrame:
+    """Sums per session; ``parts`` has one row per (session, facet, value)."""
     category = (F.col("facet") == "category") & (F.col("facet_value") != UNKNOWN_CATEGORY)
     brand = (F.col("facet") == "brand") & (F.col("facet_value") != UNKNOWN_BRAND)
     # Most frequent first, then alphabetical.
@@ -94,7 +109,11 @@ def session_totals(silver: DataFrame) -> DataFrame:
 def session_base(silver: DataFrame, carts_only: bool = True) -> DataFrame:
     """Gold without history. ``carts_only=False`` keeps sessions without a cart,
     whose cart columns are null."""
-    totals = session_totals(silver)
+    return base_of_parts(session_parts(silver), carts_only)
+
+
+def base_of_parts(parts: DataFrame, carts_only: bool = True) -> DataFrame:
+    totals = session_totals(parts)
     if carts_only:
         totals = totals.where(F.col("items") > 0)
     last_cart = F.timestamp_seconds("last_cart_sec")

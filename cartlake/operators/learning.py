@@ -287,3 +287,29 @@ def fit_profile_forest(training: DataFrame, trees: int = 100, depth: int = 8) ->
         IndexToString(inputCol="prediction", outputCol="predicted_profile", labels=labels.labels),
     ]
     return Pipeline(stages=stages).fit(with_ratio(training))
+
+
+@dataclass
+class Forests:
+    """The two forests of the one-hour decision."""
+
+    risk: PipelineModel
+    profile: PipelineModel
+
+    def save(self, path: str) -> None:
+        save_model(self.risk, f"{path}/risk")
+        save_model(self.profile, f"{path}/profile")
+
+    @staticmethod
+    def load(path: str) -> "Forests":
+        return Forests(load_model(f"{path}/risk"), load_model(f"{path}/profile"))
+
+
+def fit_forests(training: DataFrame) -> Forests:
+    return Forests(fit_risk_forest(training), fit_profile_forest(training))
+
+
+def judged_by(forests: Forests, carts: DataFrame) -> DataFrame:
+    """Add ``p_abandonment`` and ``predicted_profile`` to carts with the nine training features."""
+    scored = forests.risk.transform(carts).select(*carts.columns, probability().alias("p_abandonment"))
+    return forests.profile.transform(scored).select(*scored.columns, "predicted_profile")

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from cartlake.functions import offers, profiles, risk
 from cartlake.functions.events import CART, PURCHASE, VIEW, event_order, from_cents, night_flag, to_cents
+from cartlake.operators import learning
+from cartlake.operators.learning import Forests
+from cartlake.operators.running import running_totals
 from cartlake.operators.scoring import with_prescription
 from cartlake.operators.skew import salted_join
+from cartlake.session import stage
 
 # Delays and texts of the two triggers.
 FIVE_MINUTES = 300
@@ -98,15 +102,61 @@ def reminders(fired_rows: DataFrame) -> DataFrame:
     )
 
 
-def decisions(
-    fired_rows: DataFrame, p: Column | None = None, profile: Column | None = None
-) -> DataFrame:
-    """The one-hour decision: features of the cart, risk, profile and offer. The
-    rules stand in where no model's risk or profile is given."""
-    p = risk.stream_risk() if p is None else p
-    profile = profiles.rule_a() if profile is None else profile
+def buyer_seconds(silver: DataFrame) -> DataFrame:
+    """Each buyer's own views and cart events per session and second."""
+    kind = F.col("event_type")
+    rows = silver.groupBy("user_id", "user_session", F.unix_seconds("event_time_ts").alias("sec"))
+    counted = rows.agg(F.count_if(kind == VIEW).alias("views"), F.count_if(kind == CART).alias("carts"))
+    return counted.where((F.col("views") > 0) | (F.col("carts") > 0))
+
+
+def with_buyer_history(carts: DataFrame, seconds: DataFrame) -> DataFrame:
+    """Add ``user_prior_carts`` and ``user_prior_views`` as they stood at each deadline.
+
+    Of the buyer's other sessions those count in which the buyer had filled a cart by then, and
+    their views up to then: an as-of join of ``carts`` (user_id, user_session, fires_at_sec) with
+    the buyer's running totals. No event after the deadline counts, whenever it arrived. A view
+    counts from the second in which its session has a cart. The totals are built per buyer and
+    hour, so no task orders all seconds of one buyer.
+    """
+    key = ["user_id", "user_session"]
+    begun = seconds.where(F.col("carts") > 0).groupBy(*key).agg(F.min("sec").alias("begun"))
+    known = stage(
+        seconds.join(begun, key).select(
+            *key,
+            F.greatest("sec", "begun").alias("at"),
+            "views",
+            F.when(F.col("sec") == F.col("begun"), 1).otherwise(0).cast("long").alias("begins"),
+        ),
+        "buyer-facts",
+    )
+    asked = stage(carts.select(*key, F.col("fires_at_sec").alias("at")).distinct(), "deadlines")
+    facts = known.groupBy("user_id", "at").agg(F.sum("views").alias("views"), F.sum("begins").alias("begins"))
+    nothing = F.lit(0).cast("long")
+    # At one second facts come first: the deadline itself counts.
+    line = facts.select("user_id", "at", "views", "begins", F.lit(0).alias("asks"), F.lit("").alias("user_session"))
+    line = line.unionByName(
+        asked.select("user_id", "at", nothing.alias("views"), nothing.alias("begins"), F.lit(1).alias("asks"), "user_session")
+    )
+    totals = running_totals(
+        line, ["user_id"], F.floor(F.col("at") / ONE_HOUR), ["at", "asks", "user_session"],
+        sums={"all_views": "views", "all_carts": "begins"},
+    ).where(F.col("asks") == 1)
+    own = known.withColumnRenamed("at", "sec").join(asked, key).where(F.col("sec") <= F.col("at"))
+    own = own.groupBy(*key, "at").agg(F.sum("views").alias("own_views"), F.sum("begins").alias("own_carts"))
+    history = totals.join(own, [*key, "at"], "left").select(
+        *key,
+        F.col("at").alias("fires_at_sec"),
+        (F.col("all_views") - F.coalesce("own_views", nothing)).alias("user_prior_views"),
+        (F.col("all_carts") - F.coalesce("own_carts", nothing)).alias("user_prior_carts"),
+    )
+    return carts.join(history, [*key, "fires_at_sec"])
+
+
+def decision_carts(fired_rows: DataFrame) -> DataFrame:
+    """The cart of each fired one-hour trigger as it stood at the deadline."""
     last_cart = F.timestamp_seconds("last_cart_sec")
-    carts = fired_rows.select(
+    return fired_rows.select(
         "user_session",
         "user_id",
         "trigger",
@@ -120,7 +170,26 @@ def decisions(
         F.hour(last_cart).alias("hour_of_day"),
         night_flag(F.hour(last_cart)).alias("is_night"),
     )
-    offered = with_prescription(carts.withColumn("p_abandonment", p), profile)
+
+
+def decisions(
+    fired_rows: DataFrame, p: Column | None = None, profile: Column | None = None
+) -> DataFrame:
+    """The one-hour decision: features of the cart, risk, profile and offer. The
+    rules stand in where no model's risk or profile is given."""
+    p = risk.stream_risk() if p is None else p
+    return decided(decision_carts(fired_rows).withColumn("p_abandonment", p), profile)
+
+
+def forest_decisions(fired_rows: DataFrame, seconds: DataFrame, forests: Forests) -> DataFrame:
+    """The one-hour decision by the two trained forests, from all nine features."""
+    carts = with_buyer_history(decision_carts(fired_rows), seconds)
+    return decided(learning.judged_by(forests, carts), F.col("predicted_profile")).drop("predicted_profile")
+
+
+def decided(carts: DataFrame, profile: Column | None = None) -> DataFrame:
+    """Profile and offer of carts with ``p_abandonment``."""
+    offered = with_prescription(carts, profiles.rule_a() if profile is None else profile)
     p = F.col("p_abandonment")
     return offered.withColumns(
         {
@@ -142,11 +211,12 @@ def trigger_1hour(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
     return decisions(fired(clocks(silver), [ONE_HOUR], as_of))
 
 
-def actions(fired_rows: DataFrame) -> DataFrame:
-    """Fired triggers of either kind as one list of actions, from one pass."""
-    decided = decisions(fired_rows)
+def actions(fired_rows: DataFrame, seconds: DataFrame | None = None, forests: Forests | None = None) -> DataFrame:
+    """Fired triggers of either kind as one list of actions, from one pass. With ``forests``
+    they decide after an hour, and ``seconds`` gives the buyers' history."""
+    decided_rows = decisions(fired_rows) if forests is None else forest_decisions(fired_rows, seconds, forests)
     reminder = F.col("trigger") == TRIGGERS[FIVE_MINUTES]
-    return decided.select(
+    return decided_rows.select(
         "user_session",
         "user_id",
         "trigger",
@@ -161,3 +231,11 @@ def trigger_chain(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Both triggers of each session."""
     as_of = last_event_sec(silver) if as_of is None else as_of
     return actions(fired(clocks(silver), [FIVE_MINUTES, ONE_HOUR], as_of))
+
+
+def decision_features(silver: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The nine features of the training table for each fired one-hour trigger."""
+    as_of = last_event_sec(silver) if as_of is None else as_of
+    carts = decision_carts(fired(clocks(silver), [ONE_HOUR], as_of))
+    rows = with_buyer_history(stage(carts, "decision-carts"), buyer_seconds(silver))
+    return rows.select("user_session", "user_id", "fires_at_sec", *learning.TRAINING_FEATURES)

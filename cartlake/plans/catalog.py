@@ -522,6 +522,11 @@ def trigger_chain(x: Layers) -> DataFrame:
     return triggers.trigger_chain(stage(x.silver, "silver"))
 
 
+@query
+def decision_features(x: Layers) -> DataFrame:
+    return triggers.decision_features(stage(x.silver, "silver"))
+
+
 # --- learning ---------------------------------------------------------------
 
 
@@ -600,7 +605,9 @@ for build in (
     learned.profile_report,
     learned.model_scored_carts,
     dashboard_payload,
+    learned.forest_decisions,
     live.stream_trigger_chain,
+    live.stream_gold,
     live.stream_funnel_daily,
     live.stream_kpis,
 ):

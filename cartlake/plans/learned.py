@@ -4,7 +4,7 @@ partitions, so these are checked by shape and range."""
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.operators import learning, metrics, scoring
+from cartlake.operators import learning, metrics, scoring, triggers
 from cartlake.plans.layers import Layers
 from cartlake.schemas import (
     CATEGORICAL_FEATURES,
@@ -13,6 +13,7 @@ from cartlake.schemas import (
     NUMERIC_FEATURES,
     SESSION_FEATURE_NAMES,
     TARGET,
+    TRAINING_COLUMNS,
 )
 from cartlake.session import stage
 
@@ -77,3 +78,12 @@ def model_scored_carts(x: Layers) -> DataFrame:
         "urgency_level",
         "estimated_recovered_gmv",
     )
+
+
+def forest_decisions(x: Layers) -> DataFrame:
+    """The one-hour decisions by forests that are trained on the training rows of gold."""
+    silver, carts = stage(x.silver, "silver"), stage(x.gold.select(*GOLD_COLUMNS), "gold")
+    table = learning.training_table(learning.with_split(carts).where("split = 'train'"))
+    forests = learning.fit_forests(stage(table.select(*TRAINING_COLUMNS), "training"))
+    due = triggers.fired(triggers.clocks(silver), [triggers.ONE_HOUR], triggers.last_event_sec(silver))
+    return triggers.forest_decisions(stage(due, "due"), triggers.buyer_seconds(silver), forests)

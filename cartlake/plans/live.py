@@ -1,10 +1,13 @@
 """Registered queries that run as streams over the given tables."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cartlake.plans.layers import Layers
-from cartlake.session import new_path, write_stage
+from cartlake.schemas import GOLD_COLUMNS
+from cartlake.session import new_path, stage, write_stage
 from cartlake.streaming import jobs, totals
+from cartlake.streaming.views import LiveGold
 
 
 def as_stream(table: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
@@ -24,6 +27,18 @@ def stream_trigger_chain(x: Layers) -> DataFrame:
     return jobs.act(fired, silver)
 
 
+def stream_gold(x: Layers) -> DataFrame:
+    """Gold kept up to date over three micro-batches that split every session's events."""
+    path = new_path(x.spark, "silver-parts")
+    silver = stage(x.silver, "silver")
+    for part in range(3):
+        silver.where(F.pmod("event_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(path)
+    stream = x.spark.readStream.schema(x.silver.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    views = LiveGold(x.spark, new_path(x.spark, "live"), x.silver.schema, buckets=4, fan=2)
+    jobs.drain(jobs.start(stream, views.update, new_path(x.spark, "live-state")))
+    return views.read().select(*GOLD_COLUMNS)
+
+
 def stream_funnel_daily(x: Layers) -> DataFrame:
     _, stream = as_stream(x.silver, "silver")
     counts = totals.daily_funnel(stream)

@@ -571,12 +571,26 @@ chain as (
   union all
   select user_session, user_id, trigger, fires_at_sec, coupon_code, coupon_label, status
   from decisions)"""
+# As of the deadline: the buyer's own carts and views in other sessions, nothing later.
+SQL["decision_features"] = f"""{FROM_TRIGGERS},
+begun as (
+  select user_id, user_session, min(sec) as sec from silver
+  where event_type = 'cart' group by 1, 2)
+select user_session, user_id, fires_at_sec, total_cart_value, num_cart_items, num_views_before_cart,
+  view_to_cart_ratio, session_duration_sec, hour_of_day, is_night,
+  (select count(*) from begun b where b.user_id = c.user_id and b.user_session <> c.user_session
+    and b.sec <= c.fires_at_sec) as user_prior_carts,
+  (select count(*) from begun b join silver v on v.user_id = b.user_id and v.user_session = b.user_session
+    where b.user_id = c.user_id and b.user_session <> c.user_session and b.sec <= c.fires_at_sec
+      and v.event_type = 'view' and v.sec <= c.fires_at_sec) as user_prior_views
+from carts c"""
 SQL["trigger_5min"] = f"{FROM_TRIGGERS} select * from reminders"
 SQL["trigger_1hour"] = f"{FROM_TRIGGERS} select * from decisions"
 SQL["trigger_chain"] = f"{FROM_TRIGGERS}, {CHAIN} select * from chain"
 # The stream has seen all events up to its watermark, ten minutes before the last.
 SQL["stream_trigger_chain"] = f"""{FROM_TRIGGERS}, {CHAIN}
 select * from chain where fires_at_sec < (select as_of from last_event) - 600"""
+SQL["stream_gold"] = f"{FROM_GOLD} select {GOLD_OUTPUT} from gold"
 SQL["stream_funnel_daily"] = f"""{FROM_SILVER}
 select strftime(t, '%Y-%m-%d') as day, {COUNTS} from silver group by 1"""
 SQL["stream_kpis"] = f"""{FROM_LOGISTIC}

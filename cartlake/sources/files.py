@@ -40,6 +40,17 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     system.mkdirs(folder)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = hadoop_path(spark, path)
+    return system.exists(place)
+
+
+def put_mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    place, system = hadoop_path(spark, path)
+    system.create(place, True).close()
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
