@@ -1,19 +1,19 @@
 """The reminder clock of a session as a streaming state.
 
 Spark hands each session its new cart and purchase events, and calls again when
-event time passes the next deadline. The state holds times rather than flags, as
+event time passes one of its timers. The state holds times rather than flags, as
 a late cart event can still move the start of the clock.
 """
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cartlake.functions.events import CART, PURCHASE
-from cartlake.operators.triggers import FIVE_MINUTES, ONE_HOUR, TRIGGERS
+from cartlake.operators.triggers import ONE_HOUR, TRIGGERS
 
 LATENESS = "10 minutes"
 # A finished clock stays known for so long, so that later carts of the same
@@ -22,6 +22,7 @@ LATENESS = "10 minutes"
 KEEP_SECONDS = 86_400
 
 FIRED_SCHEMA = "user_session string, user_id long, trigger string, t0 long, fires_at_sec long"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_SCHEMA = "t0 long, owner long, purchases array<long>, done_sec long, last_sec long"
 
 
@@ -48,43 +49,68 @@ def needed_purchases(t0, purchases, watermark_sec):
     return [p for p in purchases if watermark_sec < p < t0] + since[:1]
 
 
-def advance(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, keep_seconds: int | None = KEEP_SECONDS
-) -> Iterator[pd.DataFrame]:
-    t0, owner, purchases, done_sec, last_sec = state.get if state.exists else (None, None, [], 0, 0)
-    purchases = list(purchases or [])
-    if not state.hasTimedOut:
-        for batch in batches:
-            t0, owner, purchases, last_sec = merge_events(t0, owner, purchases, last_sec, batch)
-    watermark_ms = state.getCurrentWatermarkMs()
-    purchases = needed_purchases(t0, purchases, watermark_ms // 1000)
-
-    rows = []
-    due = [] if t0 is None else [d for d in (FIVE_MINUTES, ONE_HOUR) if d > done_sec]
-    for delay in due:
-        deadline = t0 + delay
-        if deadline * 1000 >= watermark_ms:
-            break
-        done_sec = delay
-        if not any(t0 <= p <= deadline for p in purchases):
-            rows.append((key[0], owner, TRIGGERS[delay], t0, deadline))
-
-    if t0 is None:
-        wake = max(purchases, default=last_sec)
-    elif done_sec < ONE_HOUR:
-        wake = t0 + (FIVE_MINUTES if done_sec < FIVE_MINUTES else ONE_HOUR)
-    else:
-        wake = max(t0 + ONE_HOUR, last_sec) + (keep_seconds or 0)
-    forever = keep_seconds is None and t0 is not None and done_sec == ONE_HOUR
-    over = not forever and wake * 1000 < watermark_ms and (t0 is None or done_sec == ONE_HOUR)
-    if over:
-        state.remove()
-    else:
-        state.update((t0, owner, purchases, done_sec, last_sec))
-        if not forever:
-            state.setTimeoutTimestamp(max(wake * 1000, watermark_ms + 1))
-    if rows:
-        yield pd.DataFrame(rows, columns=["user_session", "user_id", "trigger", "t0", "fires_at_sec"])
+class Clock(StatefulProcessor):
+    """One session's clock: a value with its times, and a timer for each deadline ahead and one
+    for the end of the state. Spark wakes it when event time has passed a timer."""
+
+    def __init__(self, keep_seconds: int | None):
+        self.keep_seconds = keep_seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("clock", STATE_SCHEMA)
+
+    def close(self) -> None:
+        pass
+
+    def timers(self, t0, purchases, done_sec, last_sec) -> set[int]:
+        """The milliseconds at which this clock has to wake: just after a deadline, not at it."""
+        if t0 is None:
+            ends = [max(purchases, default=last_sec)]
+        else:
+            ends = [t0 + d for d in TRIGGERS if d > done_sec]
+            if self.keep_seconds is not None:
+                ends.append(max(t0 + ONE_HOUR, last_sec) + self.keep_seconds)
+        return {sec * 1000 + 1 for sec in ends}
+
+    def keep(self, t0, owner, purchases, done_sec, last_sec, watermark_ms: int) -> None:
+        needed = needed_purchases(t0, purchases, watermark_ms // 1000) if done_sec < ONE_HOUR else []
+        self.state.update((t0, owner, needed, done_sec, last_sec))
+        wanted = self.timers(t0, needed, done_sec, last_sec)
+        running = set(self.handle.listTimers())
+        for ms in running - wanted:
+            self.handle.deleteTimer(ms)
+        for ms in wanted - running:
+            self.handle.registerTimer(ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        t0, owner, purchases, done_sec, last_sec = self.state.get() if self.state.exists() else (None, None, [], 0, 0)
+        for batch in rows:
+            t0, owner, purchases, last_sec = merge_events(t0, owner, purchases or [], last_sec, batch)
+        self.keep(t0, owner, purchases, done_sec, last_sec, timerValues.getCurrentWatermarkInMs())
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if not self.state.exists():
+            return
+        t0, owner, purchases, done_sec, last_sec = self.state.get()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        for delay, name in TRIGGERS.items():
+            if t0 is not None and done_sec < delay and (t0 + delay) * 1000 < now:
+                done_sec = delay
+                if not any(t0 <= p <= t0 + delay for p in purchases):
+                    row = [(key[0], owner, name, t0, t0 + delay)]
+                    yield pd.DataFrame(row, columns=["user_session", "user_id", "trigger", "t0", "fires_at_sec"])
+        ahead = [ms for ms in self.timers(t0, purchases, done_sec, last_sec) if ms > now]
+        if ahead or (t0 is not None and self.keep_seconds is None):
+            self.state.update((t0, owner, purchases if done_sec < ONE_HOUR else [], done_sec, last_sec))
+        else:
+            self.state.clear()
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Timers need the state store on disk; it also keeps many sessions out of the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 def fired_triggers(
@@ -102,9 +128,7 @@ def fired_triggers(
     session is remembered; None for good.
     """
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        return advance(key, batches, state, keep_seconds)
-
+    use_rocksdb(silver.sparkSession)
     counts = F.when(F.col("event_time_ts").isNotNull(), F.col("event_type").isin(CART, PURCHASE))
     steps = (
         silver.select(
@@ -118,6 +142,6 @@ def fired_triggers(
         .where(counts)
         .dropDuplicatesWithinWatermark(["user_session", "event_type", "sec"])
     )
-    return steps.groupBy("user_session").applyInPandasWithState(
-        step, FIRED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+    return steps.groupBy("user_session").transformWithStateInPandas(
+        Clock(keep_seconds), FIRED_SCHEMA, outputMode="append", timeMode="eventTime"
     )

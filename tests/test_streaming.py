@@ -219,3 +219,32 @@ def test_stream_job(spark, bronze, tmp_path):
     want = triggers.trigger_chain(silver_events(bronze([*edges(), END])))
     assert 0 < first <= got.count()
     assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_no_state_is_left_of_closed_sessions(spark, tmp_path):
+    """Bought, decided and view-only sessions are forgotten after their time, not before."""
+    folder = write_files(
+        tmp_path / "in",
+        [
+            [event("2024-01-01 10:00:00", "cart", "s"), event("2024-01-01 10:00:00", "cart", "t"), event("2024-01-01 10:01:00", "purchase", "t")],
+            [event("2024-01-01 12:00:00", "view", "x")],
+            [event("2024-01-02 09:00:00", "cart", "s")],
+        ],
+    )
+
+    def known():
+        fired = clock.fired_triggers(stream(spark, folder))
+        jobs.drain(jobs.start(fired, jobs.to_folder(str(tmp_path / "out")), str(tmp_path / "state")))
+        # The clock is the second of the two stateful operators from the sink.
+        store = spark.read.format("statestore").option("stateVarName", "clock").option("operatorId", 0)
+        return {r.key.user_session for r in store.load(str(tmp_path / "state")).collect()}
+
+    assert known() == {"s", "t"}
+    write_files(tmp_path / "more", [[END], [END]])
+    import os
+
+    for i in range(2):
+        os.rename(tmp_path / "more" / f"{i:03d}.json", tmp_path / "in" / f"9{i:02d}.json")
+    assert known() == set()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.user_session, r.trigger) for r in rows) == [("s", "CART_PLUS_1_HOUR"), ("s", "CART_PLUS_5_MINUTES")]
