@@ -5,11 +5,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from cartlake.operators import learning
+from cartlake.operators import learning, serving
 from cartlake.operators.silver import silver_events
 from cartlake.plans import campaign, medallion
 from cartlake.session import remove_staged, stage, use_utc
-from cartlake.sources import files, topics
+from cartlake.sources import files, sinks, topics
+from cartlake.sources.jdbc import Database
 from cartlake.sources.log import BUCKETS
 from cartlake.streaming import clock, jobs
 from cartlake.streaming.views import LiveGold
@@ -26,7 +27,19 @@ def run_campaign(spark, args, lake):
 
 
 def run_serving(spark, args, lake):
-    medallion.populate_serving(spark, lake, args.batch, args.model)
+    database = Database(args.jdbc, dict(o.split("=", 1) for o in args.option)) if args.jdbc else None
+    medallion.populate_serving(spark, lake, args.batch, args.model, database)
+
+
+def run_listing(spark, args, lake):
+    """Show the newest prescriptions, from the database if one is named."""
+    if args.jdbc:
+        database = Database(args.jdbc, dict(o.split("=", 1) for o in args.option))
+        features, prescriptions = (database.read(spark, name, "user_id") for name in medallion.SERVING_TABLES)
+    else:
+        features, prescriptions = (sinks.read_latest(spark, f"{lake.serving}/{name}", "session_id") for name in medallion.SERVING_TABLES)
+    newest = serving.latest_prescriptions(prescriptions, features, args.rows)
+    serving.formatted_prescriptions(newest).orderBy("position").show(args.rows, truncate=False)
 
 
 def run_dashboard(spark, args, lake):
@@ -91,6 +104,12 @@ def parser() -> argparse.ArgumentParser:
     sub = job("serving", run_serving)
     sub.add_argument("--batch", type=int, default=0)
     sub.add_argument("--model", help="a saved model; the heuristic without it")
+    sub.add_argument("--jdbc", help="URL of a database whose serving tables take the batch as well")
+    sub.add_argument("--option", action="append", default=[], help="name=value for the database driver")
+    sub = job("listing", run_listing)
+    sub.add_argument("--rows", type=int, default=50)
+    sub.add_argument("--jdbc", help="URL of a database to read the serving tables from")
+    sub.add_argument("--option", action="append", default=[], help="name=value for the database driver")
     sub = job("dashboard", run_dashboard)
     sub.add_argument("--out", required=True)
     sub = job("train", run_train)

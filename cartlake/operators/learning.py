@@ -7,7 +7,6 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import (
     IndexToString,
     OneHotEncoder,
-    StandardScaler,
     StringIndexer,
     VectorAssembler,
 )
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from cartlake.functions import profiles
 from cartlake.operators import metrics
 from cartlake.operators.running import exact_quantiles
+from cartlake.operators.scaler import PopulationScaler, moments
 from cartlake.operators.serving import MODEL_COLUMNS, MODEL_DEFAULTS, conform
 from cartlake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from cartlake.session import stage
@@ -53,20 +53,11 @@ def feature_frame(carts: DataFrame, keep: list[str]) -> DataFrame:
     return conform(carts, kept | MODEL_COLUMNS, MODEL_DEFAULTS).fillna(0, NUMERIC_FEATURES).fillna(MODEL_DEFAULTS)
 
 
-def fit_scale(frame: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column: one row to the driver."""
-    row = frame.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in columns],
-        *[F.stddev_pop(c).alias(f"std_{c}") for c in columns],
-    ).first()
-    return {c: (row[f"mean_{c}"] or 0.0, row[f"std_{c}"] or 1.0) for c in columns}
-
-
 def scaled(frame: DataFrame, digits: int | None = None) -> DataFrame:
     """Each numeric feature with mean 0 and population deviation 1; a constant
     feature only loses its mean."""
     columns = [c for c in NUMERIC_FEATURES if c in frame.columns]
-    scale = fit_scale(frame, columns)
+    scale = moments(frame, columns)
 
     def one(c: str) -> Column:
         mean, std = scale[c]
@@ -129,11 +120,8 @@ def split_shares(split: DataFrame) -> DataFrame:
 def preprocessing(numeric: list[str], categorical: list[str]) -> list:
     """Scaled numbers and one-hot categories in one vector; unknown categories
     go to a bucket of their own."""
-    stages = [
-        VectorAssembler(inputCols=numeric, outputCol="numbers"),
-        StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-    ]
-    parts = ["scaled"]
+    stages = [PopulationScaler(inputCols=numeric, outputCols=[f"scaled_{c}" for c in numeric])]
+    parts = [f"scaled_{c}" for c in numeric]
     for c in categorical:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_flags", dropLast=False))

@@ -3,9 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.operators.running import running_totals
-
-SCORE_CHUNKS = 65_536
+from cartlake.operators.running import range_totals
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -66,15 +64,14 @@ def per_class_report(scored: DataFrame, label: str, prediction: str) -> DataFram
 
 def ranked_scores(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score: positives, negatives, and how many of each have a
-    lower score. Ordered in chunks of the score, so no task sees all scores."""
+    lower score. Scores are dealt by ranges that Spark samples from them, so no task sees
+    all scores however close together they lie."""
     positive = F.col(label) == 1
     per_score = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    return running_totals(
+    return range_totals(
         per_score,
-        [],
-        F.floor(F.col("score") * SCORE_CHUNKS),
         ["score"],
         sums={"positives_below": "positives", "negatives_below": "negatives"},
         totals={"all_positives": "positives_below", "all_negatives": "negatives_below"},

@@ -67,6 +67,18 @@ def running_totals(
     return inside.join(offsets, keys).select(*columns, *firsts, *totals)
 
 
+def range_totals(
+    rows: DataFrame, order: list[str], sums: dict[str, str], totals: dict[str, str] | None = None
+) -> DataFrame:
+    """``running_totals`` over a whole table in ``order``, in chunks of about equal numbers of rows.
+
+    Spark samples the bounds of the chunks from the rows; a second pass totals inside each. The
+    rows are written once between the passes, so both see the same bounds. Rows equal in
+    ``order`` must be merged before: they fall into one chunk."""
+    dealt = stage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    return running_totals(dealt, [], F.col("_range"), order, sums, totals=totals).drop("_range")
+
+
 # Width of a value chunk: 2^16 values are ordered in a task, and long values up
 # to 2^32 give at most 2^16 chunks to order.
 CHUNK_BITS = 16

@@ -12,6 +12,10 @@ from cartlake.operators import gold, learning, scoring, serving, silver
 from cartlake.plans import dashboard
 from cartlake.session import use_utc
 from cartlake.sources import files, sinks
+from cartlake.sources.jdbc import Database
+
+
+SERVING_TABLES = ("session_features", "cart_coupons_prescribed")
 
 
 @dataclass(frozen=True)
@@ -58,23 +62,24 @@ def medallion(spark: SparkSession, csv_path: str, lake: Lake, **rules: bool) ->
 
 
 def populate_serving(
-    spark: SparkSession, lake: Lake, batch_id: int, model_path: str | None = None
+    spark: SparkSession, lake: Lake, batch_id: int, model_path: str | None = None, database: Database | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Load session features and prescriptions. A batch replaces its own earlier
     try, and the newest row of a session wins on reading. Without a model the
-    carts are scored by the heuristic."""
+    carts are scored by the heuristic. With a database its tables take the batch as well."""
     carts = spark.read.parquet(lake.gold)
     if model_path:
         model = learning.load_model(model_path)
         scored = scoring.with_recovery(scoring.with_coupon(learning.predict(model, carts)))
     else:
         scored = scoring.score(carts)
-    loads = {
-        "session_features": serving.serving_session_features(carts),
-        "cart_coupons_prescribed": serving.serving_prescriptions(scored),
-    }
+    tables = (serving.serving_session_features(carts), serving.serving_prescriptions(scored))
+    loads = dict(zip(SERVING_TABLES, tables, strict=True))
     for name, rows in loads.items():
         sinks.append_batch(rows, f"{lake.serving}/{name}", batch_id)
+        if database:
+            written = spark.read.schema(rows.schema).parquet(f"{lake.serving}/{name}/batch_id={batch_id}")
+            database.replace(written, name, "session_id", str(batch_id))
     tables = [sinks.read_latest(spark, f"{lake.serving}/{name}", "session_id") for name in loads]
     return tables[0], tables[1]
 

@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 from cartlake.operators.running import TOP_ROWS, ranked_between
 from cartlake.schemas import BRONZE, TRAINING
 
+# Folders of a layer that is loaded file by file.
+SOURCE_FILE = "source_file"
+
 
 def read_events_csv(
     spark: SparkSession, path: str | list[str], schema: StructType = BRONZE
@@ -76,7 +79,8 @@ def load_events(
     file_pattern: str | None = None,
 ) -> DataFrame:
     """The CSV logs of a folder, or of the files whose path has ``file_pattern``; all rows
-    unless a sample is asked for."""
+    unless a sample is asked for. A sample takes equally many rows of each file, so with n files
+    it can be up to n - 1 rows short of ``sample_n``."""
     paths = list_files(spark, f"{folder}/*.csv")
     if not paths:
         raise FileNotFoundError(f"no .csv file in {folder}")
@@ -99,13 +103,14 @@ def first_existing(spark: SparkSession, candidates: list[str]) -> str:
 
 
 def read_layer(spark: SparkSession, path: str, fallback: str | None = None) -> DataFrame:
-    """All Parquet files below a prefix; the fallback when the prefix has none."""
+    """All Parquet files below a prefix; the fallback when the prefix has none. The folders by
+    source file, which loads replace, are no column of the layer."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(path).drop(SOURCE_FILE)
     except AnalysisException as error:
         if fallback is None or error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.read.parquet(fallback)
+        return spark.read.parquet(fallback).drop(SOURCE_FILE)
 
 
 def read_user_events(

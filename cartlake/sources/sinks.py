@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.sources.files import read_events_csv
+from cartlake.sources.files import SOURCE_FILE, read_events_csv
 
 
 def write_layer(
@@ -25,8 +25,11 @@ def write_document(document: DataFrame, path: str) -> None:
 
 
 def ingest_csv(spark: SparkSession, source: str, bronze_path: str) -> None:
-    """Land CSV logs in the bronze layer as Parquet, unchanged."""
-    read_events_csv(spark, source).write.mode("append").parquet(bronze_path)
+    """Land CSV logs in the bronze layer as Parquet, unchanged, in one folder per file of the
+    source. A file that is loaded again replaces its own folder, under whatever pattern it was
+    named, so no row is there twice."""
+    rows = read_events_csv(spark, source).withColumn(SOURCE_FILE, F.md5(F.col("_metadata.file_path")))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE_FILE).parquet(bronze_path)
 
 
 def latest_per_key(df: DataFrame, key: str, version: str) -> DataFrame:
@@ -47,10 +50,3 @@ def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The newest row of each key over all batches: a keyed upsert on read, so
     that no batch has to rewrite the table."""
     return latest_per_key(spark.read.parquet(path), key, "batch_id")
-
-
-def append_jdbc(df: DataFrame, url: str, table: str, key: str, **options: str) -> None:
-    """Append to a database table, one row per key within the batch."""
-    df.dropDuplicates([key]).write.format("jdbc").options(
-        url=url, dbtable=table, **options
-    ).mode("append").save()

@@ -1,9 +1,13 @@
+import bisect
 import random
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from cartlake.operators import gold, learning, metrics
+from cartlake.operators.running import range_totals
+from cartlake.operators.scaler import PopulationScaler
 from cartlake.operators.silver import silver_events
 from cartlake.schemas import NUMERIC_FEATURES, TARGET, TRAINING
 from cartlake.session import stage
@@ -143,3 +147,52 @@ def test_train_job_saves_both_forests(spark, carts, tmp_path, monkeypatch):
     job.main(["train", "--lake", lake, "--table", table])
     for name in ("risk", "profile"):
         learning.load_model(f"{lake}/models/{name}")
+
+
+def test_pipeline_scales_as_the_scaled_features(spark, bronze, tmp_path):
+    carts = gold.gold_carts(silver_events(bronze(hot_log(400))))
+    frame = stage(learning.feature_frame(carts, keep=["user_session", TARGET]), "frame")
+    pipeline = Pipeline(stages=learning.preprocessing(NUMERIC_FEATURES, ["main_category"])).fit(frame)
+    learning.save_model(pipeline, str(tmp_path / "model"))
+    again = learning.load_model(str(tmp_path / "model"))
+    want = {r.user_session: r for r in learning.scaled(frame.drop("main_category")).collect()}
+    for model in (pipeline, again):
+        for r in model.transform(frame).collect():
+            values = [r[f"scaled_{c}"] for c in NUMERIC_FEATURES]
+            assert values == pytest.approx([want[r.user_session][c] for c in NUMERIC_FEATURES], rel=1e-9, abs=1e-9)
+            assert list(r.features.toArray()[: len(values)]) == pytest.approx(values)
+
+
+def test_scaler_centres_what_never_varies(spark):
+    rows = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, b double")
+    model = PopulationScaler(["a", "b"], ["x", "y"]).fit(rows)
+    assert [tuple(r) for r in model.transform(rows).select("x", "y").collect()] == [(-1.0, 0.0), (1.0, 0.0), (None, 0.0)]
+
+
+def test_close_scores_are_ranked_in_many_tasks(spark):
+    """All scores lie within 1/65,536, a third of the rows has one and the same."""
+    rng = random.Random(9)
+    rows = [(rng.randint(0, 1), 0.5 + (0 if i % 3 == 0 else rng.random()) / 70_000) for i in range(6000)]
+    scored = spark.createDataFrame(rows, "label int, score double").repartition(4)
+    curve = stage(metrics.roc_curve(scored), "curve").withColumn("task", F.spark_partition_id())
+    ranges = metrics.ranked_scores(scored, "label", "score")
+    plan = ranges._jdf.queryExecution().toString()
+    assert "_range" in plan
+    auc = metrics.roc_auc(scored).first()
+    positives = sorted(s for y, s in rows if y == 1)
+    negatives = sorted(s for y, s in rows if y == 0)
+    wins = sum(bisect.bisect_left(negatives, p) + bisect.bisect_right(negatives, p) for p in positives) / 2
+    assert auc.roc_auc == pytest.approx(wins / len(positives) / len(negatives), abs=1e-6)
+    for r in curve.collect():
+        assert r.tpr == pytest.approx(1 - bisect.bisect_left(positives, r.threshold) / len(positives), abs=1e-6)
+
+
+def test_ranges_come_from_the_rows(spark):
+    rng = random.Random(1)
+    values = sorted({round(rng.random() ** 8, 12) for _ in range(3000)})
+    rows = spark.createDataFrame([(v, 1) for v in values], "v double, n long").repartition(5)
+    with_range = range_totals(rows, ["v"], {"before": "n"}, {"all": "before"})
+    got = {r.v: (r.before, r.all) for r in with_range.collect()}
+    assert got == {v: (i, len(values)) for i, v in enumerate(values)}
+    dealt = rows.repartitionByRange(4, "v").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) < 0.4 * len(values)

@@ -88,6 +88,15 @@ def test_source_choice(spark, csv_folder, tmp_path):
     assert files.read_layer(spark, str(tmp_path / "bronze")).columns == BRONZE.names
 
 
+def test_a_second_ingest_repeats_no_row(spark, csv_folder, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    for pattern in ("*.csv", "2019-Oct.csv", "*.csv"):
+        sinks.ingest_csv(spark, f"{csv_folder}/{pattern}", bronze)
+        assert files.read_layer(spark, bronze).count() == 500
+    want = files.read_events_csv(spark, f"{csv_folder}/*.csv")
+    assert files.read_layer(spark, bronze).exceptAll(want).count() == 0
+
+
 def test_user_filter_reaches_the_scan(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     spark.createDataFrame([], BRONZE).write.parquet(str(tmp_path / "events"))
