@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartlake.operators import journey, kpis, learning, scoring
 from cartlake.plans.medallion import Lake
 from cartlake.session import stage
+from cartlake.sources import sinks
 
 
 @dataclass
@@ -29,6 +30,7 @@ def run_campaign(spark: SparkSession, lake: Lake, model_path: str | None = None)
     carts it has not seen."""
     silver, gold = spark.read.parquet(lake.silver), spark.read.parquet(lake.gold)
     trained = learning.train_models(gold, save_to=model_path)
+    sinks.write_layer(trained.comparison.coalesce(1), lake.models)
     unseen = learning.with_split(gold).where(F.col("split") == "test").drop("split")
     predicted = learning.predict(trained.best, unseen)
     scored = stage(scoring.with_recovery(scoring.with_coupon(predicted)), "campaign")

