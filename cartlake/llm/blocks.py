@@ -8,6 +8,7 @@ moving the text again, and a lost executor rereads it with the same content.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +44,15 @@ def array(part: memoryview, dtype) -> np.ndarray:
     return np.frombuffer(part, dtype)
 
 
+def trim() -> None:
+    """Gives freed memory back to the system. A worker process serves many tasks, also of later
+    stages, and would keep the largest that it ever had."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def new_block() -> int:
     """The identity of a block; it is fixed once the block is written."""
     return uuid.uuid4().int >> 65

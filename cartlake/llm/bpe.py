@@ -106,6 +106,7 @@ def split_blocks(pattern: str):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         for whole in batches:
+            B.trim()
             for batch in B.pieces(whole, BLOCK_BYTES):
                 data, lengths = B.flat(batch.column("text"))
                 number, places, counts, at = {}, [], [], 0
@@ -181,6 +182,7 @@ IDS = "block long, shard int, ids binary"
 
 def encode_words(path: str):
     def encode(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        B.trim()
         """Of one shard: each distinct word is merged once; the ids go to its blocks."""
         rank, number, ids, sizes, out = ranks(path), {}, [], [], []
         for block, value in zip(table.column("block").to_pylist(), table.column("words").to_pylist()):
@@ -208,6 +210,7 @@ def spread(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
 
 def join_ids(path: str, shards: int):
     def join(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
+        B.trim()
         table, token_start, token_size = token_table(path)
         back = dict(zip(encoded.column("shard").to_pylist(), encoded.column("ids").to_pylist()))
         out = []

@@ -78,6 +78,18 @@ def window_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def hashes_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``window_hashes(data)[places]``, never holding more hashes than those of a chunk."""
+    out = np.empty(len(places), np.uint64)
+    order = np.argsort(places, kind="stable")
+    edges = np.searchsorted(places[order], np.arange(0, len(data) + CHUNK, CHUNK))
+    for at, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        if b > a:
+            mine, begin = order[a:b], at * CHUNK
+            out[mine] = window_hashes(data[begin : begin + CHUNK + WIDTH - 1])[places[mine] - begin]
+    return out
+
+
 def minimizers(data: np.ndarray) -> np.ndarray:
     """For every WIDTH bytes the least hash of their GRAM-byte strings."""
     count = max(0, len(data) - WIDTH + 1)
@@ -142,6 +154,7 @@ def make_blocks(docs: DataFrame, keep: list[str] | None, cuts: list[int]) -> Dat
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            B.trim()
             ids = whole.column("id")
             part = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), side="left")
             part = np.where(ids.is_null().to_numpy(zero_copy_only=False), -1, part)
@@ -176,6 +189,7 @@ SENT = "shard int, block long, low binary"
 def sent_minimizers(shards: int):
     def send(batches):
         for batch in batches:
+            B.trim()
             for block, part, body in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "body"))):
                 if part < 0:
                     continue
@@ -226,6 +240,7 @@ TEXTS = "kind int, target long, part int, block long, body binary"
 
 def texts_and_repeats(shards: int):
     def send(blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        B.trim()
         out = []
         known = [
             (np.uint64(s) << np.uint64(32))
@@ -252,10 +267,10 @@ def texts_and_repeats(shards: int):
             pick = np.flatnonzero(seen)
             if not len(pick):
                 continue
-            hashes = window_hashes(data)
             start, count, low, owner, doc, shard = (x[pick] for x in (start, count, low, owner, doc, shard))
-            whole = mix(hashes[start] * np.uint64(3) + hashes[start + count - 1] * np.uint64(5) + count.astype(np.uint64))
-            del hashes
+            whole = mix(
+                hashes_at(data, start) * np.uint64(3) + hashes_at(data, start + count - 1) * np.uint64(5) + count.astype(np.uint64)
+            )
             order = np.lexsort((doc, whole))
             first = groups(whole[order])
             least = np.repeat(doc[order][first], np.diff(np.append(first, len(order))))
@@ -322,6 +337,7 @@ HITS = "target long, body binary"
 
 def matched(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Of one shard: per block, the stretches whose bytes stand in a smaller doc_id."""
+    B.trim()
     parts = table.column("part").to_numpy()
     bodies, owners = table.column("body").to_pylist(), table.column("block").to_pylist()
     family, out = Family(), []
@@ -366,6 +382,7 @@ def matched(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 def cleaned(blocks: pa.Table, hits: pa.Table) -> pa.Table:
     """Of one block: its documents without the matched stretches."""
+    B.trim()
     names = ["row", "n_bytes", "n_removed", "n_spans", "kept"]
     out = []
     found = [B.unsqueeze(x) for x in hits.column("body").to_pylist()]

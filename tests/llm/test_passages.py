@@ -66,3 +66,13 @@ def test_window_hashes_cross_chunks(monkeypatch):
 def test_squeeze_round_trip():
     parts = B.unsqueeze(B.squeeze(np.arange(5), b"abc", np.zeros(0, np.uint8)))
     assert list(B.array(parts[0], np.int64)) == [0, 1, 2, 3, 4] and bytes(parts[1]) == b"abc" and len(parts[2]) == 0
+
+
+def test_hashes_at_places_are_those_of_all_windows():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 3 * suffix.CHUNK + 77, dtype=np.uint8)
+    whole = suffix.window_hashes(data)
+    edges = [0, suffix.CHUNK - 1, suffix.CHUNK, 2 * suffix.CHUNK, len(whole) - 1]
+    places = np.concatenate([rng.integers(0, len(whole), 500), edges])
+    assert (suffix.hashes_at(data, places) == whole[places]).all()
+    assert len(suffix.hashes_at(data[:60], np.zeros(0, np.int64))) == 0
