@@ -8,8 +8,8 @@ paths, sorted and linked to the path that encloses them, so the longest that fit
 by bisection. A rule goes to every range that its interval touches.
 
 The cuts between ranges come from a bounded sample of keys. A key that takes several cuts
-is spread over the ranges between them by row, so one host or URL with a third of all
-rows does not end in one task. The URLs are shuffled once.
+is spread over the ranges between them by the row's number in its task, so one host or URL with a
+third of all rows, exact copies too, does not end in one task. The URLs are shuffled once.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MARK, LAST = "\0", "\U0010ffff"
+#: No label of a host holds the mark, so labels begin alike just for a host and its subdomains.
+MARK, LAST = ".", "\U0010ffff"
 #: Sampled keys for each range.
 PER_RANGE = 20
 RULES = (
@@ -106,22 +107,24 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: in
     host, path = split_url(F.col("url"))
     # Ids travel as text: beside rules, which have none, pandas would round them.
     urls = pages.select(F.col("page_id").cast("string").alias("page_id"), host.alias("host"), path.alias("path"))
-    sample = urls.orderBy(F.xxhash64("page_id", "host", "path"), "page_id", "host", "path").limit(PER_RANGE * ranges).select("host", "path").collect()
+    # By row, not by content: the sample shows copies as often as the table does.
+    salted = urls.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)).cast("int"))
+    sample = salted.orderBy("salt", "host", "path").limit(PER_RANGE * ranges).select("host", "path").collect()
     keys = sorted(url_key(r["host"], r["path"]) for r in sample)
     cuts = keys[PER_RANGE::PER_RANGE]
     page_type = pages.schema["page_id"].dataType.simpleString()
-    schema = "part int, sort_key string, labels string, page_id string, host string, path string, rule string, verdict string"
+    schema = "part int, labels string, page_id string, host string, path string, rule string, verdict string"
 
     def deal_urls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            labels = batch["host"].map(reversed_host)
-            key = labels + MARK + batch["path"]
+            labels = [reversed_host(h) for h in batch["host"]]
+            key = map(url_key, batch["host"], batch["path"])
             part = []
             for k, salt in zip(key, batch["salt"]):
                 low, high = bisect_left(cuts, k), bisect_right(cuts, k)
                 part.append(low + salt % (high - low + 1))
             none = [None] * len(batch)
-            yield frame(part, key + "\1", labels, batch["page_id"], batch["host"], batch["path"], none, none)
+            yield frame(part, labels, batch["page_id"], batch["host"], batch["path"], none, none)
 
     def deal_rules(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -129,7 +132,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: in
             for r in batch.itertuples():
                 labels = reversed_host(r.host)
                 for part in range(bisect_left(cuts, labels), bisect_right(cuts, labels + LAST) + 1):
-                    out.append((part, labels + MARK + r.path, labels, None, r.host, r.path, f"{r.host}{r.path}", r.verdict))
+                    out.append((part, labels, None, r.host, r.path, f"{r.host}{r.path}", r.verdict))
             if out:
                 yield frame(*zip(*out))
 
@@ -152,10 +155,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: in
                 held = [batch[c].iloc[keep] for c in ("page_id", "host", "path")]
                 yield frame(*held, [v[0] for v in verdicts], [v[1] or default for v in verdicts])
 
-    salted = urls.withColumn("salt", F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(1 << 30)).cast("int"))
     usable = rules.filter("verdict is not null and host is not null and path is not null").select("verdict", "host", "path")
     dealt = salted.mapInPandas(deal_urls, schema).unionByName(usable.mapInPandas(deal_rules, schema))
-    ordered = dealt.repartition(ranges, "part").sortWithinPartitions("part", "sort_key", "rule", "verdict")
+    ordered = dealt.repartitionById(ranges, "part").sortWithinPartitions("part", "labels", F.col("rule").isNotNull().desc(), "path", "rule", "verdict")
     judged = ordered.mapInPandas(run, "page_id string, host string, path string, rule string, verdict string")
     return judged.withColumn("page_id", F.col("page_id").cast(page_type))
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from cartlake.llm import urls
 
 SCHEMA = "page_id long, url string, html string, rule string, part int, host string"
@@ -55,3 +57,14 @@ def test_odd_rows_and_no_rows(spark):
     odd = spark.createDataFrame([(None, None), (1, "http://a.net/"), (1, "http://a.net/")], "page_id long, url string")
     assert sorted((r["verdict"] for r in urls.judge(odd, rules).collect())) == ["allow", "block", "block"]
     assert urls.judge(odd.limit(0), rules).collect() == []
+
+
+def test_a_hot_url_is_spread(spark):
+    others = [(i, f"https://h{i % 97}.example.org/p{i}") for i in range(2000)]
+    hot = "https://www.example.net/en/start"
+    for ids in (range(5000, 6000), [5000] * 1000):  # own ids; exact copies
+        pages = spark.createDataFrame(others + [(i, hot) for i in ids], "page_id long, url string").repartition(4)
+        judged = urls.judge(pages, urls.fixed_rules(spark), ranges=20)
+        counts = [r["count"] for r in judged.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(counts) == 3000
+        assert max(counts) < 400 and len(counts) >= 18, counts
