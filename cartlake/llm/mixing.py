@@ -1,17 +1,20 @@
 """Mixing documents to target weights of domains that are only known softly.
 
-1. A classifier (softmax regression on hashed words) learns the domains from a labelled
-   table: a bounded sample of ``ROWS`` labelled rows, those of least hash.
+1. A classifier (softmax regression on hashed beginnings of words) learns the domains from a
+   labelled table: a bounded sample of ``ROWS`` labelled rows, those of least hash.
 2. Every document gets its posterior over the domains and its number of tokens. With rate
    r_d, document d counts r_d * tokens_d * posterior_dk tokens of domain k.
-3. Nonnegative rates come from least squares: the squared distance of the expected totals
-   from the targets, each by its target, plus ``ridge`` times the mean squared distance of rates from 1,
-   by projected gradients. A step needs one sum per domain over all documents; a document's rate
-   follows from the gradients so far, so no state is kept and a lost task is just redone.
+3. Nonnegative rates come from least squares: the squared distance of the expected totals from
+   the targets, by projected gradients from rate 1. Totals are measured by the inverse of the
+   domains' token products over the documents above the floor, so a step of length 1 lands on the
+   targets but for what the floor cuts off, and a few steps reach them. A step needs one set of
+   sums over all documents; a document's rate follows from the gradients so far, so no state is
+   kept and a lost task is just redone.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,13 +26,23 @@ from pyspark.sql import functions as F
 from cartlake.llm import blocks as B
 from cartlake.session import stage
 
-ROWS, BUCKETS, STEPS = 6_000, 1024, 40
+log = logging.getLogger(__name__)
+
+ROWS, BUCKETS = 6_000, 2048
+#: Bytes of a word that count. Texts in a call to the classifier.
+BEGINNING, TEXTS = 5, 256
+#: Steps end when every domain is this near its target, or after ``PATIENCE`` steps that come no nearer.
+NEAR, PATIENCE = 0.002, 8
 #: Wanted shares of tokens.
 DOMAINS = ("poor", "good", "toxic")
 TARGETS = {"poor": 0.1, "good": 0.88, "toxic": 0.02}
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes as the classifier reads them: lower case, digits and signs as the letters they stand for.
+READ_AS = np.arange(256)
+READ_AS[65:91] += 32
+READ_AS[list(b"013457@$l|")] = list(b"oieastasii")
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -40,9 +53,8 @@ def domain_labels(labels: DataFrame) -> DataFrame:
 
 
 def word_buckets(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every word of the texts: the text's ordinal, and the bucket of its lower-cased bytes."""
+    """For every word of the texts: the text's ordinal, and the bucket of its beginning."""
     ends = np.cumsum(lengths)
-    lower = np.where((data >= 65) & (data <= 90), data + 32, data)
     first = np.zeros(len(data) + 1, bool)
     first[(ends - lengths)] = True
     space = SPACES[data]
@@ -51,13 +63,10 @@ def word_buckets(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     start = np.flatnonzero(begin)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    place = np.arange(len(data), dtype=np.int64) - np.repeat(start, np.diff(np.append(start, len(data))))[: len(data)] if start[0] == 0 else None
-    if place is None:
-        place = np.arange(len(data), dtype=np.int64)
-        place[start[0] :] -= np.repeat(start, np.diff(np.append(start, len(data))))
-    value = (lower.astype(np.uint64) + np.uint64(1)) * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)) * ODD
+    place = np.arange(len(data), dtype=np.int64) - start[np.maximum(np.cumsum(begin) - 1, 0)]
+    value = (READ_AS[data].astype(np.uint64) + np.uint64(1)) * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)) * ODD
     value ^= value >> np.uint64(29)
-    value[space] = 0
+    value[space | (place >= BEGINNING)] = 0
     word = np.add.reduceat(value, start) * ODD
     return np.searchsorted(ends, start, side="right"), ((word >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)
 
@@ -105,9 +114,9 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: int, rows: int = ROWS)
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in B.pieces(whole, 1 << 20):
-                x, _ = features(*B.flat(batch.column("text")))
+                x = np.concatenate([features(*B.flat(batch.column("text").slice(at, TEXTS)))[0] for at in range(0, batch.num_rows, TEXTS)])
                 yield pa.record_batch(
-                    [batch.column("doc_id"), batch.column("domain"), pa.array([r.tobytes() for r in x], pa.binary())],
+                    [batch.column("doc_id"), batch.column("domain"), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())],
                     names=["doc_id", "domain", "x"],
                 )
 
@@ -116,7 +125,7 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: int, rows: int = ROWS)
     got = got.orderBy("doc_id", "x").limit(2 * rows).toPandas()
     if got.empty:
         return Classifier(np.zeros((BUCKETS + 257, domains), np.float32))
-    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), -1)
+    x = np.frombuffer(b"".join(got["x"]), np.float16).reshape(len(got), -1).astype(np.float32)
     return fit(x, got["domain"].to_numpy(), domains)
 
 
@@ -127,8 +136,8 @@ def memberships(docs: DataFrame, classifier: Classifier, keep: list[str] | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in B.pieces(whole, 1 << 20):
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
+                for at in range(0, batch.num_rows, TEXTS):
+                    part = batch.slice(at, TEXTS)
                     x, tokens = features(*B.flat(part.column("text")))
                     p = classifier.posterior(x)
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
@@ -139,78 +148,108 @@ def memberships(docs: DataFrame, classifier: Classifier, keep: list[str] | None
     return rows.mapInArrow(run, schema)
 
 
-def rate(gradients: list[list[float]], floor: float, ridge: float, step: float) -> Column:
+def rate(gradients: list[list[float]], floor: float) -> Column:
     """A document's rate after all steps so far, from its posterior alone.
 
     Every step moves it against the gradient and back above ``floor``."""
-    steps = F.array(*[F.array(*map(F.lit, g)) for g in gradients]) if gradients else None
-    if steps is None:
-        return F.greatest(F.lit(1.0), F.lit(floor))
+    start = F.lit(max(1.0, floor))
+    if not gradients:
+        return start
 
     def move(r: Column, g: Column) -> Column:
         pull = F.aggregate(F.zip_with("posterior", g, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(floor), r - step * (pull + ridge * (r - 1.0)))
+        return F.greatest(F.lit(floor), r - pull)
+
+    return F.aggregate(F.array(*[F.array(*map(F.lit, g)) for g in gradients]), start, move)
+
 
-    return F.aggregate(steps, F.lit(max(1.0, floor)), move)
+def sums(members: DataFrame, now: Column, domains: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens by domain at rates ``now``, and the tokens' products by pairs of domains
+    over the documents above the floor (all of them at the first step)."""
+    at = [F.get("posterior", F.lit(i)) for i in range(domains)]
+    pairs = [(i, j) for i in range(domains) for j in range(i, domains)]
+    free = F.when((F.col("r") > floor) | (F.col("r") == max(1.0, floor)), F.col("n_tokens")).otherwise(0)
+    row = members.withColumn("r", now).agg(
+        *[F.sum(F.col("r") * F.col("n_tokens") * p) for p in at], *[F.sum(free * at[i] * at[j]) for i, j in pairs]
+    ).first()
+    totals = np.array([x or 0.0 for x in row[:domains]])
+    products = np.zeros((domains, domains))
+    for (i, j), value in zip(pairs, row[domains:]):
+        products[i, j] = products[j, i] = value or 0.0
+    return totals, products
 
 
 def mix(
-    members: DataFrame, targets: list[float], floor: float = 0.0, growth: float = 1.0,
-    steps: int = STEPS, ridge: float = 0.01,
+    members: DataFrame, targets: list[float], floor: float = 0.0, growth: float | None = 1.0, most: float = 1.5,
 ) -> tuple[DataFrame, list[float], list[float]]:
     """``members`` with ``rate`` and ``copies``, the wanted tokens and the expected ones by domain.
 
-    ``targets``: shares of ``growth`` times all tokens. No rate goes below ``floor``; domains
-    that this keeps over their target stay over it. ``copies`` is the rate rounded up or down by
-    a hash of the row, so its mean is the rate, and the same row always gets the same. A table
-    without tokens keeps rate 1, or ``floor``. Shares must be positive and sum to 1.
+    ``targets``: shares of ``growth`` times all tokens; they must be positive and sum to 1. A
+    growth of None is the least that lowers no domain, ``most`` at most. No rate goes below
+    ``floor``. Where no rates meet the targets (a floor that keeps a domain over its target, a
+    domain that no document has enough of), the nearest mix of all steps is taken, and a
+    warning names the domains' distances. ``copies`` is the rate rounded up or down by a hash
+    of the row's place in the written table, so repeated rows round independently and the mean
+    of copies is the rate. A table without tokens keeps rate 1, or ``floor``.
     """
     if abs(sum(targets) - 1) > 1e-6 or min(targets) <= 0:
         raise ValueError("targets must be positive shares that sum to 1")
-    k = range(len(targets))
+    k = len(targets)
     members = stage(members, "memberships")
-    mass = [F.col("n_tokens") * F.get("posterior", F.lit(i)) for i in k]
-    have = [x or 0.0 for x in members.agg(*[F.sum(m) for m in mass]).first()]
-    total = sum(have)
+    have, _ = sums(members, F.lit(1.0), k, floor)
+    total = have.sum()
     if not total:
         even = members.withColumn("rate", F.lit(max(1.0, floor))).withColumn("copies", F.ceil("rate").cast("int"))
-        return even, [0.0 for _ in k], [0.0 for _ in k]
-    wanted = [growth * total * t for t in targets]
-    # Totals are measured by their targets, so the gradient at a document with posterior p is
-    # the weighted sum of p_k (have_k - wanted_k) / wanted_k times a common factor.
-    scale = [max(h, 1e-9) / w for h, w in zip(have, wanted)]
-    step = 1.0 / (max(scale) + ridge)
+        return even, [0.0] * k, [0.0] * k
+    shares = np.array(targets)
+    if growth is None:
+        growth = min(most, max(1.0, float((have / total / shares).max())))
+    wanted = growth * total * shares
     gradients: list[list[float]] = []
-    totals = have if floor <= 1 else None
-    for _ in range(steps):
-        if totals is None or gradients:
-            now = rate(gradients, floor, ridge, step)
-            totals = [x or 0.0 for x in members.withColumn("r", now).agg(*[F.sum(F.col("r") * m) for m in mass]).first()]
-        off = [(t - w) / w for t, w in zip(totals, wanted)]
-        if max(map(abs, off)) < 0.002:
+    best: tuple[float, int, np.ndarray] | None = None
+    length, last = 1.0, np.inf
+    while True:
+        totals, products = sums(members, rate(gradients, floor), k, floor)
+        off = (totals - wanted) / wanted
+        worst = float(np.abs(off).max())
+        if best is None or worst < best[0]:
+            best = worst, len(gradients), totals
+        if worst <= NEAR or len(gradients) - best[1] >= PATIENCE:
             break
-        gradients.append(off)
-    salt = F.pmod(F.xxhash64(F.to_json("row"), "n_tokens"), F.lit(1 << 30)) / float(1 << 30)
-    done = members.withColumn("rate", rate(gradients, floor, ridge, step)).withColumn("copies", F.floor(F.col("rate") + salt).cast("int"))
-    return done, wanted, totals
+        # A step that overshot is followed by shorter ones.
+        length = min(1.0, 2 * length) if worst < last else length / 2
+        last = worst
+        metric = products + 1e-9 * max(np.trace(products), 1e-9 * total) * np.eye(k)
+        gradients.append([float(g) for g in length * np.linalg.solve(metric, totals - wanted)])
+    worst, steps, totals = best
+    log.info("rates after %d steps, at most %.4f off the targets", steps, worst)
+    if worst > NEAR:
+        log.warning("no mix on the targets was found: with rates from %s on the expected tokens of the domains are off by %s", floor, np.round((totals - wanted) / wanted, 4).tolist())
+    place = (F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1), F.col("_metadata.row_index"))
+    salt = F.pmod(F.xxhash64(*place), F.lit(1 << 30)) / float(1 << 30)
+    done = members.withColumn("salt", salt).withColumn("rate", rate(gradients[:steps], floor))
+    return done.withColumn("copies", F.floor(F.col("rate") + F.col("salt")).cast("int")).drop("salt"), wanted.tolist(), totals.tolist()
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0) -> DataFrame:
-    """Per row: doc_id, n_tokens, a posterior column for each domain, rate and copies.
+    """Per row: doc_id, n_tokens, a posterior column for each domain, rate, copies and, the same in
+    all rows, ``off``: by domain the expected tokens over the wanted ones, less 1.
 
     Repeated rows, and rows without doc_id, each give a row; an empty table gives an empty
     result; other columns are not read.
     """
     targets = targets or TARGETS
     classifier = learn(docs, domain_labels(labels), len(DOMAINS))
-    done, _, _ = mix(memberships(docs, classifier), [targets[d] for d in DOMAINS], floor)
+    done, wanted, totals = mix(memberships(docs, classifier), [targets[d] for d in DOMAINS], floor)
+    off = [F.lit(t / w - 1 if w else 0.0).alias(d) for d, w, t in zip(DOMAINS, wanted, totals)]
     return done.select(
-        "row.doc_id", "n_tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "copies"
+        "row.doc_id", "n_tokens", *[F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "copies",
+        F.struct(*off).alias("off"),
     )
 
 
 def resampled(
-    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 1.0, growth: float = 1.25,
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 1.0, growth: float | None = None,
 ) -> DataFrame:
     """The documents themselves, each as often as its copies say."""
     targets = targets or TARGETS
