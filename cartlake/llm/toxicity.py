@@ -5,7 +5,9 @@ words between single spaces; l, i, 1 and | become one letter. A text with accent
 twice, with and without them, and the reading that finds more counts.
 The lexicon is learned from labelled rows: beginnings of words and whole words, weighted
 by the log odds of toxic over other documents. Exception phrases blank the words that they cover.
-The sum of weights, and the sum by length, go through a logistic curve.
+The sum of weights, and the sum by length, go through a logistic curve. The least log odds of a
+term are chosen by cross-validation inside the labelled rows that may be learned from, and the
+curve is fitted to what lexicons of the other folds find in a row.
 
 Bounds, all parameters: ``ROWS`` labelled rows without copies (those of least hash) fit the lexicon and the
 curve, ``TERMS`` is the length of the lexicon. Scoring reads every text in full.
@@ -33,7 +35,9 @@ from cartlake.session import stage
 
 log = logging.getLogger(__name__)
 
-ROWS, TERMS, LEAST, ODDS = 20_000, 3_000, 8, 2.0
+ROWS, TERMS, LEAST = 20_000, 3_000, 8
+#: The least log odds of a term that are tried, and the folds of the trial.
+ODDS, FOLDS = (1.5, 2.0, 2.5, 3.0), 4
 THRESHOLD = 0.3
 #: Copies among labelled rows: least hashes kept of a text, classes of them, likeness of a copy.
 SKETCH, CLASSES, COPY = 64, 8, 0.8
@@ -188,15 +192,31 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataF
 
 
 def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    """Per term the other and the toxic documents that have it, by fold."""
+    counts: dict[str, np.ndarray] = {}
     for batch in batches:
-        for text, toxic in zip(batch["text"], batch["toxic"]):
+        for text, toxic, fold in zip(batch["text"], batch["toxic"], batch["fold"]):
             words = {w for read in readings(text) for w in read.split()}
             terms = {f" {w} " for w in words}
             terms.update(f" {w[:n]}" for w in words for n in PREFIXES if len(w) >= n)
-            counts[1 if toxic == 1 else 0].update(terms)
-    terms = list(counts[0].keys() | counts[1].keys())
-    yield pd.DataFrame({"term": terms, "toxic": [counts[1][t] for t in terms], "other": [counts[0][t] for t in terms]})
+            for term in terms:
+                counts.setdefault(term, np.zeros((2, FOLDS), np.int32))[int(toxic == 1), fold] += 1
+    yield pd.DataFrame({"term": list(counts), **{n: [int(c[y, f]) for c in counts.values()] for n, y, f in count_columns()}})
+
+
+def count_columns() -> list[tuple[str, int, int]]:
+    return [(f"n{y}{f}", y, f) for y in (0, 1) for f in range(FOLDS)]
+
+
+def weighed(found: list[tuple[str, np.ndarray]], size: np.ndarray, least: float, terms: int) -> dict[str, float]:
+    """The lexicon of terms with these other and toxic documents, of as many in all as ``size`` says."""
+    rows = []
+    for term, (other, toxic) in found:
+        weight = math.log((toxic + 1) / (size[1] + 2)) - math.log((other + 1) / (size[0] + 2))
+        if toxic >= LEAST and weight >= least:
+            rows.append((term, weight, int(toxic)))
+    rows.sort(key=lambda r: (-r[1] * r[2], r[0]))
+    return telling(rows[:terms])
 
 
 def telling(rows: list[tuple[str, float, int]]) -> dict[str, float]:
@@ -224,31 +244,53 @@ def fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, terms: int = TERMS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    sample = stage(training_rows(docs, labels, rows), "toxic-sample")
-    total = sample.agg(F.sum((F.col("toxic") == 1).cast("int")), F.sum((F.col("toxic") != 1).cast("int"))).first()
-    toxic, other = (total[0] or 0), (total[1] or 0)
-    if not toxic or not other:
-        return Lexicon({}, exceptions, rows=toxic + other)
-    odds = F.log((F.col("toxic") + 1) / F.lit(toxic + 2)) - F.log((F.col("other") + 1) / F.lit(other + 2))
-    found = (
-        sample.mapInPandas(term_counts, "term string, toxic long, other long")
-        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .withColumn("weight", odds).filter((F.col("toxic") >= LEAST) & (F.col("weight") >= ODDS))
-        .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term").limit(terms).collect()
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
+    sample = stage(training_rows(docs, labels, rows).select("text", "toxic", fold), "toxic-sample")
+    size = np.zeros((2, FOLDS))
+    for toxic, f, n in sample.groupBy((F.col("toxic") == 1).cast("int").alias("y"), "fold").count().collect():
+        size[toxic, f] = n
+    if not size.sum(axis=1).all():
+        return Lexicon({}, exceptions, rows=int(size.sum()))
+    names = [n for n, _, _ in count_columns()]
+    toxic, other = (sum(F.col(n) for n, label, _ in count_columns() if label == y) for y in (1, 0))
+    odds = F.log((toxic + 1) / F.lit(float(size[1].sum() + 2))) - F.log((other + 1) / F.lit(float(size[0].sum() + 2)))
+    # A little below the least odds: without one fold, a term's odds can be higher.
+    counted = (
+        sample.mapInPandas(term_counts, f"term string, {', '.join(f'{n} long' for n in names)}")
+        .groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
+        .withColumn("weight", odds).filter((toxic >= LEAST) & (F.col("weight") >= min(ODDS) - 0.5))
+        .orderBy(F.desc(F.col("weight") * toxic), "term").limit(4 * terms).collect()
     )
-    lexicon = Lexicon(telling([(r["term"], r["weight"], r["toxic"]) for r in found]), exceptions, rows=toxic + other)
-    log.info("lexicon fitted to %d labelled rows, %d of them toxic", lexicon.rows, toxic)
+    found = [(r["term"], np.array([r[n] for n in names]).reshape(2, FOLDS)) for r in counted]
+
+    def without(f: int | None, least: float) -> Lexicon:
+        rest = [g for g in range(FOLDS) if g != f]
+        return Lexicon(weighed([(t, c[:, rest].sum(axis=1)) for t, c in found], size[:, rest].sum(axis=1), least, terms), exceptions)
+
+    tried = [[without(f, least) for f in range(FOLDS)] for least in ODDS]
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = [lexicon.measures(t) for t in batch["text"]]
-            yield pd.DataFrame({"x": [a for a, _ in x], "y": [b for _, b in x], "toxic": (batch["toxic"] == 1).astype(float)})
-
-    measured = sample.mapInPandas(measure, "x double, y double, toxic double").orderBy("x", "y", "toxic").toPandas()
-    lexicon.curve = fit_curve(measured[["x", "y"]].to_numpy(), measured["toxic"].to_numpy())
+            x = [[v for folds in tried for v in folds[f].measures(t)] for t, f in zip(batch["text"], batch["fold"])]
+            yield pd.DataFrame({"x": x, "toxic": (batch["toxic"] == 1).astype(float)})
+
+    # The sample is bounded; sorted, so that sums do not depend on the order of tasks.
+    measured = sorted((r["toxic"], tuple(r["x"])) for r in sample.mapInPandas(measure, "x array<double>, toxic double").collect())
+    y, x = np.array([r[0] for r in measured]), np.array([r[1] for r in measured]).reshape(len(measured), len(ODDS), 2)
+    curves = [fit_curve(x[:, i], y) for i in range(len(ODDS))]
+    losses = [log_loss(curve, x[:, i], y) for i, curve in enumerate(curves)]
+    best = min(range(len(ODDS)), key=lambda i: (round(losses[i], 6), i))
+    lexicon = without(None, ODDS[best])
+    lexicon.curve, lexicon.rows = curves[best], int(size.sum())
+    log.info("lexicon fitted to %d labelled rows, %d of them toxic; losses by least odds: %s", lexicon.rows, size[1].sum(), dict(zip(ODDS, losses)))
     return lexicon
 
 
+def log_loss(curve: tuple[float, float, float], x: np.ndarray, y: np.ndarray) -> float:
+    z = np.clip(curve[0] + x @ np.array(curve[1:]), -30, 30)
+    return float(np.mean(np.logaddexp(0, z) - y * z))
+
+
 def scores(docs: DataFrame, lexicon: Lexicon, keep: list[str] | None = None) -> DataFrame:
     """Per row: ``row`` (the kept columns, doc_id by default) and ``score`` from 0 to 1.
 

@@ -75,3 +75,11 @@ def test_odd_rows_and_no_rows(spark, odd, empty):
     assert len(got) == 5 and len({r["score"] for r in got}) == 1
     assert not any(r["held_out"] for r in got if r["doc_id"] is None)
     assert toxicity.digest(empty, labels).collect() == []
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs, labels = table(spark)
+    held = toxicity.held_out(labels.doc_id)
+    turned = labels.withColumn("toxic", toxicity.F.when(held, 1 - labels.toxic).otherwise(labels.toxic))
+    one, other = toxicity.learn(docs, labels), toxicity.learn(docs, turned)
+    assert one == other and one.terms
