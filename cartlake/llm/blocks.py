@@ -83,6 +83,14 @@ def unpack_rows(value: bytes | memoryview) -> pa.Array:
         return reader.read_all().column("row").combine_chunks()
 
 
+def free_name(names: list[str], wish: str) -> str:
+    """``wish``, or that after underscores, such that no column has the name in any case."""
+    taken = {n.lower() for n in names}
+    while wish.lower() in taken:
+        wish = f"_{wish}"
+    return wish
+
+
 def with_text(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The kept columns as one struct (so no name can clash), the text as bytes (null: empty)."""
     names = ["doc_id"] if keep is None else [c for c in docs.columns if c in keep and c != "text"]

@@ -255,10 +255,10 @@ def resampled(
     targets = targets or TARGETS
     classifier = learn(docs, domain_labels(labels), len(DOMAINS))
     names = docs.columns
-    held = docs.withColumn("_text", F.col("text"))
-    members = memberships(held, classifier, [c for c in names if c != "text"] + ["_text"])
+    whole = B.free_name(names, "_text")
+    members = memberships(docs.withColumn(whole, F.col("text")), classifier, [c for c in names if c != "text"] + [whole])
     done, _, _ = mix(members, [targets[d] for d in DOMAINS], floor, growth)
     repeated = done.withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))) if floor >= 1 else (
         done.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     )
-    return repeated.select(*[F.col("row._text").alias("text") if c == "text" else F.col(f"row.{c}") for c in names])
+    return repeated.select(*[F.col(f"row.{whole}").alias("text") if c == "text" else F.col(f"row.{c}") for c in names])

@@ -45,3 +45,48 @@ def test_run_gives_the_last_stage(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     got = corpus_pipeline.run(spark, d).collect()
     assert [(r["doc_id"], r["n_tokens"]) for r in got] == [(1, len(bytes(got[0]["ids"])) // 4)]
+
+
+NAMES = "doc_id long, text string, lang string, source string, n_chars long, _text string, _hash long, row string, score double"
+
+
+def folder(spark, d, rows):
+    spark.createDataFrame(rows, NAMES).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+def test_rows_of_one_id_are_judged_by_their_own_groups(spark, tmp_path):
+    extra = ("en", "s", 5, "own", 7, "r", 0.5)
+    rows = [(1, "a text that stands twice", *extra), (5, "a text that stands twice", *extra), (5, "this one is alone here", *extra)]
+    rows += [(8, "twice the same row", *extra)] * 2 + [(None, "a text that stands twice", *extra)]
+    docs = folder(spark, str(tmp_path), rows)
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted((r[0] or 0, r[1]) for r in rows if r[:2] != (5, "a text that stands twice"))
+
+
+def test_nulls_repeated_rows_and_clashing_names_in_every_stage(spark, tmp_path):
+    blank = (None,) * 7
+    rows = [(None, None, *blank), (None, "some text of ours", *blank), (4, "same row here", *blank), (4, "same row here", *blank), (4, None, *blank)]
+    rows += [(6, "", "en", "s", 0, "own", 7, "r", 0.5), (7, "é" * 70_000, "en", "s", 70_000, "own", 7, "r", 0.5)]
+    d = str(tmp_path)
+    seen = folder(spark, d, rows)
+    for i, (name, function) in enumerate(corpus_pipeline.STAGES):
+        out = function(spark, seen, d)
+        if name != "bpe_encoding":
+            assert out.columns == seen.columns
+        out.write.parquet(f"{d}/{i}")
+        seen = spark.read.parquet(f"{d}/{i}")
+        if name == "mixing":
+            assert {r["_text"] for r in seen.filter("doc_id = 7").collect()} == {"own"}
+    assert {r["doc_id"] for r in seen.collect()} == {None, 4, 7}
+
+
+def test_an_empty_table_gives_an_empty_corpus(spark, tmp_path):
+    d = str(tmp_path)
+    seen = folder(spark, d, [])
+    for i, (_, function) in enumerate(corpus_pipeline.STAGES):
+        function(spark, seen, d).write.parquet(f"{d}/{i}")
+        seen = spark.read.parquet(f"{d}/{i}")
+    assert seen.count() == 0
