@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import bpe, mixing, simhash, suffix, toxicity
+from cartlake.llm import blocks, bpe, mixing, simhash, suffix, toxicity
 from cartlake.session import stage
 
 
@@ -22,16 +22,22 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents below the threshold of the toxicity score."""
     lexicon = toxicity.learn(docs, labels(spark, sf_dir))
     names = docs.columns
-    held = docs.withColumn("_text", F.col("text"))
-    scored = toxicity.scores(held, lexicon, [c for c in names if c != "text"] + ["_text"])
-    return documents(scored.filter(F.col("score") < toxicity.THRESHOLD), names)
+    whole = blocks.free_name(names, "_text")
+    held = docs.withColumn(whole, F.col("text"))
+    scored = toxicity.scores(held, lexicon, [c for c in names if c != "text"] + [whole])
+    kept = scored.filter(F.col("score") < toxicity.THRESHOLD)
+    return kept.select(*[F.col(f"row.{whole}").alias("text") if c == "text" else F.col(f"row.{c}") for c in names])
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near-equal fingerprints; rows without id stay."""
-    found = simhash.near_duplicates(docs)
-    gone = found.filter("row.doc_id <> component_id").select("row.doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document of least id of each group of near-equal fingerprints; rows without id stay.
+
+    Rows of one id but different texts are judged by their own groups; repeated rows go or stay together."""
+    key = blocks.free_name(docs.columns, "_hash")
+    hashed = docs.withColumn(key, F.xxhash64("text"))
+    found = simhash.near_duplicates(hashed, keep=["doc_id", key])
+    gone = found.filter("row.doc_id <> component_id").select("row.doc_id", f"row.{key}").distinct()
+    return hashed.join(gone, ["doc_id", key], "left_anti").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +55,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that the expected tokens of the domains meet the targets; the
-    floor of one copy keeps every document, and about a quarter of all tokens is added."""
+    floor of one copy keeps every document, and half of all tokens is added at most."""
     return mixing.resampled(docs, labels(spark, sf_dir))
 
 
@@ -71,10 +77,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def documents(scored: DataFrame, names: list[str]) -> DataFrame:
-    return scored.select(*[F.col("row._text").alias("text") if c == "text" else F.col(f"row.{c}") for c in names])
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
