@@ -144,24 +144,39 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
 
 def _values(templates=TEMPLATES) -> str:
-    return ", ".join(f"({i}, '{label}', {str(base).lower()}, '{text}')" for i, (label, base, text) in enumerate(templates))
+    return ", ".join(
+        f"({i}, '{label}', {str(base).lower()}, '{text}', {span(len(text.split()) - 1)})" for i, (label, base, text) in enumerate(templates)
+    )
 
 
-#: The same rows from DuckDB.
+#: The same rows from DuckDB. A band with votes enough is verified here too: of its votes from one
+#: place on (``near``, each by place, then falling position) the longest row is built vote by vote,
+#: ``best`` holding the longest that ends at each position.
 SQL = rf"""
-WITH t(template, label, base, phrase) AS (VALUES {_values()}),
-tw AS (SELECT template, label, base, string_split(phrase, ' ') AS w FROM t),
-tg AS (SELECT template, label, base, len(w) - 1 AS pairs, w[i] AS a, w[i + 1] AS b, i AS place
+WITH t(template, label, base, phrase, span) AS (VALUES {_values()}),
+tw AS (SELECT template, label, base, span, string_split(phrase, ' ') AS w FROM t),
+tg AS (SELECT template, label, base, span, len(w) - 1 AS pairs, w[i] AS a, w[i + 1] AS b, i AS pos
   FROM (SELECT *, unnest(range(1, len(w))) AS i FROM tw)),
 d AS (SELECT row_number() OVER () AS rid, doc_id,
   list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
 g AS (SELECT rid, w[i] AS a, w[i + 1] AS b, i FROM (SELECT rid, w, unnest(range(1, len(w))) AS i FROM d)),
-v AS (SELECT rid, template, label, base, pairs, i - place AS diagonal, count(*) AS votes FROM g JOIN tg USING (a, b) GROUP BY ALL),
+p AS MATERIALIZED (SELECT rid, template, label, base, pairs, span, i AS place, pos, i - pos AS diagonal FROM g JOIN tg USING (a, b)),
+v AS (SELECT rid, template, label, base, pairs, diagonal, count(*) AS votes FROM p GROUP BY ALL),
 n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER line > {GAP} THEN 1 ELSE 0 END AS new FROM v
   WINDOW line AS (PARTITION BY rid, template ORDER BY diagonal)),
 b AS (SELECT *, CASE WHEN base THEN diagonal ELSE sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal) END AS band FROM n),
-m AS (SELECT rid, template, label, base, band, sum(votes) AS votes, least(1.0::DOUBLE, sum(votes)::DOUBLE / any_value(pairs)) AS share,
-  base AND sum(votes) = any_value(pairs) AS whole FROM b GROUP BY rid, template, label, base, band)
+c AS (SELECT rid, template, label, base, pairs, band, sum(votes) AS votes, NOT base AND sum(votes) >= {SHARE} * pairs AS verify
+  FROM b GROUP BY rid, template, label, base, pairs, band),
+met AS (SELECT p.*, band FROM p JOIN b USING (rid, template, diagonal) JOIN c USING (rid, template, band) WHERE verify),
+f AS (SELECT rid, template, band, pairs, list_sort(list({{'place': y.place, 'back': -y.pos}})) AS near
+  FROM (SELECT DISTINCT rid, template, band, pairs, span, place FROM met) x JOIN met y USING (rid, template, band, pairs)
+  WHERE y.place BETWEEN x.place AND x.place + x.span - 1 GROUP BY rid, template, band, pairs, x.place),
+r AS (SELECT rid, template, band, list_max(list_reduce(
+    list_prepend(list_transform(range(pairs), lambda z: 0::BIGINT), list_transform(near, lambda y: [(-y.back)::BIGINT])),
+    lambda best, x: list_transform(best, lambda y, i: CASE WHEN i = x[1] THEN greatest(y, 1 + coalesce(list_max(best[1:x[1] - 1]), 0)) ELSE y END))) AS row FROM f),
+o AS (SELECT rid, template, band, max(row) AS row FROM r GROUP BY rid, template, band),
+m AS (SELECT rid, template, label, base, band, least(1.0::DOUBLE, coalesce(row, votes)::DOUBLE / pairs) AS share, base AND votes = pairs AS whole
+  FROM c LEFT JOIN o USING (rid, template, band))
 SELECT d.doc_id, any_value(len(d.w))::BIGINT AS n_words, count(*) FILTER (whole)::BIGINT AS n_base,
   (min(band) FILTER (whole))::BIGINT AS first_word, (max(band) FILTER (whole))::BIGINT AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole), '') AS base_labels,
