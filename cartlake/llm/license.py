@@ -4,7 +4,7 @@ Every pair of consecutive words (k = 2) of a text is hashed and joined with the
 the templates, a table of fixed size that is broadcast. A match at word p of the text and
 word t of a template votes for the diagonal p - t. A base phrase stands where all its
 pairs vote for one diagonal. A notice may have words put in or left out, so its votes on
-diagonals up to ``GAP`` apart are merged to a band. A band with votes enough is verified: the most
+diagonals up to ``GAP`` apart are merged to a band. A band is verified: the most
 pairs that stand in the template's order, each counted once, within one span of the text
 (``span``). The notice is reported if that is ``SHARE`` of its pairs. A word that alone tells two notices
 apart (nc, sa) is in two pairs, and no template is so long that it may miss both of a word's pairs and
@@ -98,8 +98,8 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
     n_base counts all places of base phrases, first_word and last_word are their least and
     greatest start (words from 0; null without one). ``score`` is the greatest share of a
-    template's pairs that is met, 1 for a whole phrase (a band with too few votes for a notice
-    is not verified, so its share counts votes). Null and empty texts have no words.
+    template's pairs that is met, in the template's order and within a span for notices, 1 for a
+    whole phrase. Null and empty texts have no words.
     Repeated rows, and rows without doc_id, each give a row; an empty table gives an empty
     result; other columns are not read.
     """
@@ -116,7 +116,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     banded = (
         cast.withColumn("new", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(line) > GAP).cast("int"), F.lit(0)))
         .withColumn("band", F.when(F.col("base"), F.col("diagonal")).otherwise(F.sum("new").over(line)))
-        .withColumn("verify", ~F.col("base") & (F.col("template") >= 0) & (F.sum("votes").over(band) >= SHARE * F.col("pairs")))
+        .withColumn("verify", ~F.col("base") & (F.col("template") >= 0) & (F.sum("votes").over(band) > 1))
     )
     # Of what is verified every vote is a row, and meets those that follow within a span.
     single = banded.withColumn("place", F.explode_outer(F.when(F.col("verify"), F.col("places"))))
@@ -149,7 +149,7 @@ def _values(templates=TEMPLATES) -> str:
     )
 
 
-#: The same rows from DuckDB. A band with votes enough is verified here too: of its votes from one
+#: The same rows from DuckDB. A band is verified here too: of its votes from one
 #: place on (``near``, each by place, then falling position) the longest row is built vote by vote,
 #: ``best`` holding the longest that ends at each position.
 SQL = rf"""
@@ -165,7 +165,7 @@ v AS (SELECT rid, template, label, base, pairs, diagonal, count(*) AS votes FROM
 n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER line > {GAP} THEN 1 ELSE 0 END AS new FROM v
   WINDOW line AS (PARTITION BY rid, template ORDER BY diagonal)),
 b AS (SELECT *, CASE WHEN base THEN diagonal ELSE sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal) END AS band FROM n),
-c AS (SELECT rid, template, label, base, pairs, band, sum(votes) AS votes, NOT base AND sum(votes) >= {SHARE} * pairs AS verify
+c AS (SELECT rid, template, label, base, pairs, band, sum(votes) AS votes, NOT base AND sum(votes) > 1 AS verify
   FROM b GROUP BY rid, template, label, base, pairs, band),
 met AS (SELECT p.*, band FROM p JOIN b USING (rid, template, diagonal) JOIN c USING (rid, template, band) WHERE verify),
 f AS (SELECT rid, template, band, pairs, list_sort(list({{'place': y.place, 'back': -y.pos}})) AS near

@@ -76,7 +76,7 @@ def by_hand(text):
         for band in bands:
             mine = [v for v in votes if v[0] - v[1] in band]
             count = len(mine)
-            if not base and count >= license.SHARE * pairs:
+            if not base:
                 reach = license.span(pairs)
                 count = max(longest([v for v in mine if p <= v[0] < p + reach]) for p, _ in mine)
             share = min(1.0, count / pairs)
