@@ -111,7 +111,8 @@ def split_blocks(pattern: str):
                 data, lengths = B.flat(batch.column("text"))
                 number, places, counts, at = {}, [], [], 0
                 for n in lengths.tolist():
-                    found = find(data[at : at + n].tobytes().decode())
+                    # Bytes that are no UTF-8 become single marks, and the same bytes again below.
+                    found = find(data[at : at + n].tobytes().decode(errors="surrogateescape"))
                     at += n
                     places.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.uint32, len(found)))
                     counts.append(len(found))
@@ -120,7 +121,7 @@ def split_blocks(pattern: str):
                     np.array(counts, np.int64), np.concatenate([np.zeros(0, np.uint32), *places]), B.pack_rows(batch.column("row"))
                 )
                 places = None
-                words = [w.encode() for w in number]
+                words = [w.encode(errors="surrogateescape") for w in number]
                 number = None
                 sizes = np.array([len(w) for w in words], np.uint32)
                 yield pa.record_batch(

@@ -184,7 +184,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataF
         labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce(F.make_valid_utf8("text"), F.lit("")).alias("text"))
     labelled = texts.join(known, "doc_id").select("doc_id", "toxic", F.sha2("text", 256).alias("digest"), sketch(F.col("text")).alias("print"))
     picked = without_copies(labelled).orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(rows)
     found = texts.join(F.broadcast(picked), "doc_id").filter(F.sha2("text", 256) == F.col("digest"))
@@ -294,15 +294,15 @@ def log_loss(curve: tuple[float, float, float], x: np.ndarray, y: np.ndarray) ->
 def scores(docs: DataFrame, lexicon: Lexicon, keep: list[str] | None = None) -> DataFrame:
     """Per row: ``row`` (the kept columns, doc_id by default) and ``score`` from 0 to 1.
 
-    Empty and null texts get the score of no hit. Repeated rows each give a row; an empty
+    Empty and null texts get the score of no hit; bytes that are no UTF-8 fit no term. Repeated rows each give a row; an empty
     table gives an empty result. Labels, lang, source and doc_id do not enter the score.
     A lexicon learned without labels of both kinds is empty and finds nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_string()).to_pylist()
-            yield pa.record_batch([batch.column("row"), pa.array([lexicon.score(t) for t in texts], pa.float64())], names=["row", "score"])
+            texts = batch.column("text").to_pylist()
+            yield pa.record_batch([batch.column("row"), pa.array([lexicon.score(t.decode(errors="replace")) for t in texts], pa.float64())], names=["row", "score"])
 
     rows = B.with_text(docs, keep)
     return rows.mapInArrow(run, rows.select("row", F.lit(0.0).alias("score")).schema)

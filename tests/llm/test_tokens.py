@@ -49,3 +49,11 @@ def test_decode_joins_the_table(spark, library):
     rows = [(1, i, t) for i, t in enumerate(library.encode_ordinary(text))] + [(1, 999, None), (2, 0, 10**9)]
     got = {r["key"]: bytes(r["bytes"]) for r in bpe.decode(spark.createDataFrame(rows, "key int, position int, id long")).collect()}
     assert got == {1: text.encode()}
+
+
+def test_bytes_that_are_no_text_come_back(spark):
+    raw = [b"\xff", b"a\xc3", b"so \xf0\x9f\x99 it \xed\xa0\x80 is\n", "é".encode() * 3 + b"\x80"]
+    rows = spark.createDataFrame(list(enumerate(raw)), "doc_id long, raw binary").selectExpr("doc_id", "cast(raw as string) AS text")
+    got = {r["doc_id"]: r for r in bpe.digest(rows).collect()}
+    for i, value in enumerate(raw):
+        assert got[i]["decoded_sha256"] == hashlib.sha256(value).hexdigest() and got[i]["n_tokens"] > 0

@@ -83,3 +83,10 @@ def test_held_out_labels_change_nothing(spark):
     turned = labels.withColumn("toxic", toxicity.F.when(held, 1 - labels.toxic).otherwise(labels.toxic))
     one, other = toxicity.learn(docs, labels), toxicity.learn(docs, turned)
     assert one == other and one.terms
+
+
+def test_bytes_that_are_no_text(spark):
+    docs, labels = table(spark)
+    broken = docs.withColumn("text", toxicity.F.expr("cast(concat(cast(text as binary), X'20FF20C3') as string)"))
+    whole = {r["doc_id"]: r["predicted"] for r in toxicity.digest(docs, labels).collect()}
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.digest(broken, labels).collect()} == whole
