@@ -7,8 +7,7 @@ a late cart event can still move the start of the clock.
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,17 +25,15 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_SCHEMA = "t0 long, owner long, purchases array<long>, done_sec long, last_sec long"
 
 
-def merge_events(t0, owner, purchases, last_sec, batch: pd.DataFrame):
-    """Take one Arrow batch of a session's events into its clock. Most sessions
-    have a handful of events, for which a loop is faster than pandas."""
+def merge_events(t0, owner, purchases, last_sec, rows: Iterator[Row]):
+    """Take a session's new events into its clock."""
     bought = set(purchases)
-    events = zip(batch["event_type"].tolist(), batch["sec"].tolist(), batch["user_id"].tolist(), strict=True)
-    for kind, sec, user in events:
-        last_sec = max(last_sec, sec)
-        if kind == PURCHASE:
-            bought.add(sec)
-        elif t0 is None or sec < t0:
-            t0, owner = sec, user
+    for row in rows:
+        last_sec = max(last_sec, row.sec)
+        if row.event_type == PURCHASE:
+            bought.add(row.sec)
+        elif t0 is None or row.sec < t0:
+            t0, owner = row.sec, row.user_id
     return t0, owner, sorted(bought), last_sec
 
 
@@ -50,8 +47,12 @@ def needed_purchases(t0, purchases, watermark_sec):
 
 
 class Clock(StatefulProcessor):
-    """One session's clock: a value with its times, and a timer for each deadline ahead and one
-    for the end of the state. Spark wakes it when event time has passed a timer."""
+    """One session's clock: a value with its times, and one timer, for the next time at which
+    there is something to do. Spark wakes it when event time has passed the timer.
+
+    Each call to the state is a message between Python and the JVM, and these set the time of a
+    batch. So a clock that wakes takes all deadlines that event time has passed, and sets its
+    timer anew only where one lies ahead."""
 
     def __init__(self, keep_seconds: int | None):
         self.keep_seconds = keep_seconds
@@ -63,49 +64,57 @@ class Clock(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def timers(self, t0, purchases, done_sec, last_sec) -> set[int]:
-        """The milliseconds at which this clock has to wake: just after a deadline, not at it."""
+    def next_wake(self, t0, purchases, done_sec, last_sec) -> int | None:
+        """The millisecond at which this clock has to wake: just after a deadline, not at it.
+        None: never again."""
         if t0 is None:
-            ends = [max(purchases, default=last_sec)]
+            end = max(purchases, default=last_sec)
+        elif ahead := [d for d in TRIGGERS if d > done_sec]:
+            end = t0 + min(ahead)
+        elif self.keep_seconds is None:
+            return None
         else:
-            ends = [t0 + d for d in TRIGGERS if d > done_sec]
-            if self.keep_seconds is not None:
-                ends.append(max(t0 + ONE_HOUR, last_sec) + self.keep_seconds)
-        return {sec * 1000 + 1 for sec in ends}
-
-    def keep(self, t0, owner, purchases, done_sec, last_sec, watermark_ms: int) -> None:
-        needed = needed_purchases(t0, purchases, watermark_ms // 1000) if done_sec < ONE_HOUR else []
+            end = max(t0 + ONE_HOUR, last_sec) + self.keep_seconds
+        return end * 1000 + 1
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        before = None
+        t0, owner, purchases, done_sec, last_sec = None, None, [], 0, 0
+        if self.state.exists():
+            t0, owner, purchases, done_sec, last_sec = self.state.get()
+            purchases = purchases or []
+            before = self.next_wake(t0, purchases, done_sec, last_sec)
+        t0, owner, purchases, last_sec = merge_events(t0, owner, purchases, last_sec, rows)
+        watermark_sec = timerValues.getCurrentWatermarkInMs() // 1000
+        needed = needed_purchases(t0, purchases, watermark_sec) if done_sec < ONE_HOUR else []
         self.state.update((t0, owner, needed, done_sec, last_sec))
-        wanted = self.timers(t0, needed, done_sec, last_sec)
-        running = set(self.handle.listTimers())
-        for ms in running - wanted:
-            self.handle.deleteTimer(ms)
-        for ms in wanted - running:
-            self.handle.registerTimer(ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        t0, owner, purchases, done_sec, last_sec = self.state.get() if self.state.exists() else (None, None, [], 0, 0)
-        for batch in rows:
-            t0, owner, purchases, last_sec = merge_events(t0, owner, purchases or [], last_sec, batch)
-        self.keep(t0, owner, purchases, done_sec, last_sec, timerValues.getCurrentWatermarkInMs())
+        after = self.next_wake(t0, needed, done_sec, last_sec)
+        if before != after:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if after is not None:
+                self.handle.registerTimer(after)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if not self.state.exists():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        held = self.state.get()
+        if held is None:
             return
-        t0, owner, purchases, done_sec, last_sec = self.state.get()
+        t0, owner, purchases, done_sec, last_sec = held
+        purchases = purchases or []
         now = expiredTimerInfo.getExpiryTimeInMs()
-        for delay, name in TRIGGERS.items():
-            if t0 is not None and done_sec < delay and (t0 + delay) * 1000 < now:
-                done_sec = delay
-                if not any(t0 <= p <= t0 + delay for p in purchases):
-                    row = [(key[0], owner, name, t0, t0 + delay)]
-                    yield pd.DataFrame(row, columns=["user_session", "user_id", "trigger", "t0", "fires_at_sec"])
-        ahead = [ms for ms in self.timers(t0, purchases, done_sec, last_sec) if ms > now]
-        if ahead or (t0 is not None and self.keep_seconds is None):
-            self.state.update((t0, owner, purchases if done_sec < ONE_HOUR else [], done_sec, last_sec))
-        else:
-            self.state.clear()
+        passed = max(now, timerValues.getCurrentWatermarkInMs() - 1)
+        while (wake := self.next_wake(t0, purchases, done_sec, last_sec)) is not None and wake <= passed:
+            if t0 is None or done_sec >= ONE_HOUR:
+                self.state.clear()
+                return
+            delay = min(d for d in TRIGGERS if d > done_sec)
+            done_sec = delay
+            if not any(t0 <= p <= t0 + delay for p in purchases):
+                yield Row(user_session=key[0], user_id=owner, trigger=TRIGGERS[delay], t0=t0, fires_at_sec=t0 + delay)
+        self.state.update((t0, owner, purchases if done_sec < ONE_HOUR else [], done_sec, last_sec))
+        if wake is not None:
+            self.handle.registerTimer(wake)
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -142,6 +151,6 @@ def fired_triggers(
         .where(counts)
         .dropDuplicatesWithinWatermark(["user_session", "event_type", "sec"])
     )
-    return steps.groupBy("user_session").transformWithStateInPandas(
+    return steps.groupBy("user_session").transformWithState(
         Clock(keep_seconds), FIRED_SCHEMA, outputMode="append", timeMode="eventTime"
     )

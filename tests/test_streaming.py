@@ -248,3 +248,73 @@ def test_no_state_is_left_of_closed_sessions(spark, tmp_path):
     assert known() == set()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r.user_session, r.trigger) for r in rows) == [("s", "CART_PLUS_1_HOUR"), ("s", "CART_PLUS_5_MINUTES")]
+
+
+class Calls:
+    """Stands for a session's state and timers; counts the messages they would be."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls, self.watermark, self.expiry = None, set(), 0, 0, 0
+
+    def counted(self, result=None):
+        self.calls += 1
+        return result
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.counted(self.value is not None)
+
+    def get(self):
+        return self.counted(self.value)
+
+    def update(self, value):
+        self.value = self.counted(value)
+
+    def clear(self):
+        self.value = self.counted()
+
+    def listTimers(self):  # noqa: N802
+        return self.counted(iter(sorted(self.timers)))
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.counted(self.timers.add(ms))
+
+    def deleteTimer(self, ms):  # noqa: N802
+        self.counted(self.timers.discard(ms))
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+    def getExpiryTimeInMs(self):  # noqa: N802
+        return self.expiry
+
+    def pass_to(self, machine, sec):
+        """Event time moves on: what fires, and how often the clock woke."""
+        self.watermark, found, woke = sec * 1000, [], 0
+        for ms in sorted(t for t in self.timers if t < self.watermark):
+            self.expiry, woke = ms, woke + 1
+            found += [(r.trigger, r.fires_at_sec) for r in machine.handleExpiredTimer(("s",), self, self)]
+            self.timers.discard(ms)
+        return found, woke
+
+
+@pytest.mark.parametrize("keep", [86_400, None])
+def test_a_clock_sets_one_timer_and_wakes_once_for_all_that_has_passed(keep):
+    from pyspark.sql import Row
+
+    both = [("CART_PLUS_5_MINUTES", 1300), ("CART_PLUS_1_HOUR", 4600)]
+    rows = [Row(event_type="cart", sec=sec, user_id=1) for sec in (1020, 1000)]
+    for steps in ([(1300, [], 0), (1301, both[:1], 1), (4601, both[1:], 1), (200_000, [], 1)], [(200_000, both, 1)]):
+        calls = Calls()
+        machine = clock.Clock(keep)
+        machine.init(calls)
+        assert list(machine.handleInputRows(("s",), iter(rows), calls)) == []
+        assert calls.calls == 3 and calls.timers == {1_300_001}
+        for sec, fires, wakes in steps:
+            before = calls.calls
+            found, woke = calls.pass_to(machine, sec)
+            assert found == fires and woke == (0 if keep is None and sec == 200_000 and not fires else wakes)
+            assert calls.calls - before <= 3 * woke and len(calls.timers) <= 1
+        assert calls.timers == set() and (calls.value is None) == (keep is not None)
