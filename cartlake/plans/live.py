@@ -29,13 +29,13 @@ def stream_trigger_chain(x: Layers) -> DataFrame:
 
 def stream_gold(x: Layers) -> DataFrame:
     """Gold kept up to date over three micro-batches that split every session's events."""
-    path = new_path(x.spark, "silver-parts")
+    path, state = new_path(x.spark, "silver-parts"), new_path(x.spark, "live-state")
     silver = stage(x.silver, "silver")
+    views = LiveGold(x.spark, new_path(x.spark, "live"), silver.schema, buckets=4, fan=2)
     for part in range(3):
-        silver.where(F.pmod("event_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(path)
-    stream = x.spark.readStream.schema(x.silver.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    views = LiveGold(x.spark, new_path(x.spark, "live"), x.silver.schema, buckets=4, fan=2)
-    jobs.drain(jobs.start(stream, views.update, new_path(x.spark, "live-state")))
+        # What has arrived since the last run is one micro-batch, in as many files as tasks wrote it.
+        silver.where(F.pmod("event_id", F.lit(3)) == part).write.mode("append").parquet(path)
+        jobs.drain(jobs.start(x.spark.readStream.schema(silver.schema).parquet(path), views.update, state))
     return views.read().select(*GOLD_COLUMNS)
 
 

@@ -84,7 +84,8 @@ class TieredLog:
 
     def save(self, rows: DataFrame, tier: int, start: int) -> None:
         dealt = rows.select(*self.columns).withColumn("bucket", bucket_of(self.key, self.buckets))
-        dealt.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.folder(tier, start))
+        # A large bucket is dealt to several tasks, so few buckets do not bound the tasks that write.
+        dealt.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.folder(tier, start))
 
     def append(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Write a batch, and the merged folders that it completes; returns its rows as written."""

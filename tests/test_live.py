@@ -56,6 +56,19 @@ def test_log_holds_each_batch_once(spark, tmp_path, fan):
     assert totals(log, 8 - fan) is not None
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    log = small_log(spark, tmp_path, 2)
+    rows = spark.range(0, 200_000, 1, 8).selectExpr("'a' as k", "id as n")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        log.append(rows, 0)
+    finally:
+        spark.conf.unset(size)
+    assert len(list((tmp_path / "log" / "tier=0").glob("start=0/bucket=*/*.parquet"))) > 1
+    assert totals(log, 0) == {"a": sum(range(200_000))}
+
+
 def test_unfinished_merge_is_not_read(spark, tmp_path):
     log = small_log(spark, tmp_path, 2)
     for n in range(3):
