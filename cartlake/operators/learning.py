@@ -135,20 +135,41 @@ def logistic_regression(rows: int) -> LogisticRegression:
 
 
 def random_forest(trees: int = 120, depth: int = 8, label: str = TARGET, seed: int = 42) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
+    """A row's node in each tree is kept from level to level; the trees are the same as without."""
+    return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
 
 
 def boosted_trees(rounds: int = 100, depth: int = 6, seed: int = 42) -> GBTClassifier:
     return GBTClassifier(labelCol=TARGET, maxIter=rounds, maxDepth=depth, seed=seed)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Training rows, written in as many equal parts as there are cores; Spark reads large ones in pieces.
+
+    A fit passes over them up to hundreds of times, and a pass is as slow as its fullest core."""
+    return stage(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), "features")
+
+
+def fit_each(
+    train: DataFrame,
+    classifiers: dict,
+    numeric: list[str] = NUMERIC_FEATURES,
+    categorical: list[str] = CATEGORICAL_FEATURES,
+) -> dict[str, PipelineModel]:
+    """A model per classifier, by name; the features of all are prepared and written once."""
+    prepared = Pipeline(stages=preprocessing(numeric, categorical)).fit(train)
+    labels = sorted({c.getLabelCol() for c in classifiers.values()})
+    rows = dealt(prepared.transform(train).select(*labels, "features"))
+    return {name: PipelineModel([*prepared.stages, c.fit(rows)]) for name, c in classifiers.items()}
+
+
 def fit(
     train: DataFrame,
     classifier,
     numeric: list[str] = NUMERIC_FEATURES,
     categorical: list[str] = CATEGORICAL_FEATURES,
 ) -> PipelineModel:
-    return Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(train)
+    return fit_each(train, {"": classifier}, numeric, categorical)[""]
 
 
 def probability() -> Column:
@@ -219,7 +240,7 @@ def train_models(
         FOREST: random_forest(seed=seed),
         BOOSTING: boosted_trees(seed=seed),
     }
-    models = {name: fit(train, c) for name, c in classifiers.items()}
+    models = fit_each(train, classifiers)
     spark = gold.sparkSession
     rows = [{"model": name} | evaluate(m, test).first().asDict() for name, m in models.items()]
     best = max(rows, key=lambda r: r["roc_auc"] or 0.0)["model"]
@@ -268,13 +289,10 @@ def fit_risk_forest(training: DataFrame, trees: int = 100, depth: int = 10) -> P
 def fit_profile_forest(training: DataFrame, trees: int = 100, depth: int = 8) -> PipelineModel:
     """Three profile classes; the prediction comes back as its name."""
     labels = StringIndexer(inputCol="user_profile", outputCol="profile_index").fit(training)
-    stages = [
-        labels,
-        *preprocessing(training_features(training), []),
-        random_forest(trees, depth, "profile_index"),
-        IndexToString(inputCol="prediction", outputCol="predicted_profile", labels=labels.labels),
-    ]
-    return Pipeline(stages=stages).fit(with_ratio(training))
+    indexed = labels.transform(with_ratio(training))
+    forest = fit(indexed, random_forest(trees, depth, "profile_index"), training_features(training), [])
+    names = IndexToString(inputCol="prediction", outputCol="predicted_profile", labels=labels.labels)
+    return PipelineModel([labels, *forest.stages, names])
 
 
 @dataclass

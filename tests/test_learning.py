@@ -136,6 +136,65 @@ def test_one_hot_columns_are_those_of_the_training_rows(spark):
         learning.known_categories(carts, "main_category", most=2)
 
 
+class Recorded:
+    """A classifier that keeps the rows it is fitted to."""
+
+    def __init__(self):
+        self.rows = []
+
+    def getLabelCol(self):  # noqa: N802
+        return TARGET
+
+    def fit(self, rows):
+        self.rows.append(rows)
+        return None
+
+
+def part_sizes(rows):
+    return sorted(r["count"] for r in rows.groupBy(F.spark_partition_id().alias("part")).count().collect())
+
+
+def test_classifiers_get_one_table_in_equal_parts(spark, carts, monkeypatch):
+    """Before, each classifier got the carts as they lay and prepared them again."""
+    frame = learning.feature_frame(carts, keep=["user_session", TARGET]).coalesce(3)
+    cores, n, prepared = spark.sparkContext.defaultParallelism, frame.count(), []
+    once = learning.preprocessing
+    monkeypatch.setattr(learning, "preprocessing", lambda *a: prepared.append(a) or once(*a))
+    first, second = Recorded(), Recorded()
+    models = learning.fit_each(frame, {"first": first, "second": second})
+    assert len(prepared) == 1 and set(models) == {"first", "second"}
+    rows = first.rows[0]
+    assert second.rows == [rows] and rows.columns == [TARGET, "features"]
+    sizes = part_sizes(rows)
+    assert len(sizes) == cores and sum(sizes) == n and sizes[-1] - sizes[0] <= 3
+    # The kind of each feature reaches the classifier.
+    assert rows.schema["features"].metadata["ml_attr"]["num_attrs"] > len(NUMERIC_FEATURES)
+
+
+def test_dealt_rows_give_the_models_of_a_plain_pipeline(carts):
+    frame = stage(learning.feature_frame(carts, keep=["user_session", TARGET]), "frame")
+    fitted = learning.fit_each(frame, {"line": learning.logistic_regression(1000), "trees": learning.boosted_trees(3, 3)})
+    stages = learning.preprocessing(NUMERIC_FEATURES, ["main_category"])
+    line = Pipeline(stages=[*stages, learning.logistic_regression(1000)]).fit(frame).stages[-1]
+    got = fitted["line"].stages[-1]
+    assert got.coefficients.toArray() == pytest.approx(line.coefficients.toArray(), abs=1e-3)
+    assert got.intercept == pytest.approx(line.intercept, abs=1e-3)
+    trees = Pipeline(stages=[*stages, learning.boosted_trees(3, 3)]).fit(frame)
+    want = {r.user_session: r.p for r in trees.transform(frame).select("user_session", learning.probability().alias("p")).collect()}
+    for r in fitted["trees"].transform(frame).select("user_session", learning.probability().alias("p")).collect():
+        assert r.p == pytest.approx(want[r.user_session], abs=0.02)
+
+
+def test_forest_of_kept_nodes_is_the_forest(carts):
+    frame = learning.feature_frame(carts, keep=["user_session", TARGET])
+    rows = learning.fit_each(frame, {"seen": (seen := Recorded())}) and seen.rows[0]
+    forest = learning.random_forest(trees=4, depth=4)
+    assert forest.getCacheNodeIds()
+    plain = forest.copy()
+    plain.setCacheNodeIds(False)
+    assert forest.fit(rows).toDebugString.split("\n")[1:] == plain.fit(rows).toDebugString.split("\n")[1:]
+
+
 def test_train_job_saves_both_forests(spark, carts, tmp_path, monkeypatch):
     from cartlake import __main__ as job
 
