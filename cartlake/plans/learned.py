@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlake.operators import learning, metrics, scoring, triggers
+from cartlake.operators.gold import gold_carts
 from cartlake.plans.layers import Layers
 from cartlake.schemas import (
     CATEGORICAL_FEATURES,
@@ -80,9 +81,17 @@ def model_scored_carts(x: Layers) -> DataFrame:
     )
 
 
+# What gold and the triggers read of silver.
+SILVER_READ = [
+    "user_session", "user_id", "event_type", "event_time_ts", "event_id", "price", "category_code", "brand",
+]
+
+
 def forest_decisions(x: Layers) -> DataFrame:
-    """The one-hour decisions by forests that are trained on the training rows of gold."""
-    silver, carts = stage(x.silver, "silver"), stage(x.gold.select(*GOLD_COLUMNS), "gold")
+    """The one-hour decisions by forests that are trained on the training rows of gold. Gold and
+    triggers read one staged silver, so the log is split into sessions and cleaned once."""
+    silver = stage(x.silver.select(*SILVER_READ), "silver")
+    carts = stage(gold_carts(silver).select(*GOLD_COLUMNS), "gold")
     table = learning.training_table(learning.with_split(carts).where("split = 'train'"))
     forests = learning.fit_forests(stage(table.select(*TRAINING_COLUMNS), "training"))
     due = triggers.fired(triggers.clocks(silver), [triggers.ONE_HOUR], triggers.last_event_sec(silver))

@@ -5,11 +5,13 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from cartlake.operators import gold, learning, metrics
+from cartlake.operators import gold, learning, metrics, triggers
 from cartlake.operators.running import range_totals
 from cartlake.operators.scaler import PopulationScaler
 from cartlake.operators.silver import silver_events
-from cartlake.schemas import NUMERIC_FEATURES, TARGET, TRAINING
+from cartlake.plans import learned
+from cartlake.plans.layers import Layers
+from cartlake.schemas import GOLD_COLUMNS, NUMERIC_FEATURES, TARGET, TRAINING
 from cartlake.session import stage
 from tests.test_gold import hot_log
 
@@ -195,6 +197,29 @@ def test_forest_of_kept_nodes_is_the_forest(carts):
     assert forest.fit(rows).toDebugString.split("\n")[1:] == plain.fit(rows).toDebugString.split("\n")[1:]
 
 
+def test_forest_decisions_read_the_log_once(spark, monkeypatch):
+    """Before, gold was built from the raw log a second time."""
+    log, staged = {}, {}
+
+    def kept(df, label):
+        log[label] = [f for f in df.inputFiles() if "events.parquet" in f]
+        staged[label] = stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(learned, "stage", kept)
+    monkeypatch.setattr(
+        learning, "random_forest",
+        lambda trees, depth, label=TARGET: learning.RandomForestClassifier(labelCol=label, numTrees=2, maxDepth=2, seed=1),
+    )
+    layers = Layers(spark, "/root/testdata/sf0.001")
+    rows = learned.forest_decisions(layers)
+    assert log["silver"] and not log["gold"] and not log["training"] and not log["due"]
+    want, got = layers.gold.select(*GOLD_COLUMNS), staged["gold"]
+    assert got.count() > 0 and want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+    due = triggers.fired(triggers.clocks(layers.silver), [triggers.ONE_HOUR], triggers.last_event_sec(layers.silver))
+    assert rows.count() == due.count() > 0
+
+
 def test_train_job_saves_both_forests(spark, carts, tmp_path, monkeypatch):
     from cartlake import __main__ as job
 
